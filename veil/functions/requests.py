@@ -18,10 +18,14 @@ def parse_requests(lines: DataFrame, key: str = "bp", line: str = "value") -> Da
     return lines.select(request_key(F.col(line)).alias(key)).filter(F.col(key).isNotNull())
 
 
+def request_record(line: Column, fields: str = REQUEST_FIELDS) -> Column:
+    """The full record of a line as a struct; fields missing at the end are null."""
+    spaces = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    return F.from_csv(line, fields, spaces)
+
+
 def parse_records(lines: DataFrame, line: str = "value", fields: str = REQUEST_FIELDS) -> DataFrame:
-    """The full record of each line; fields missing at the end are null."""
-    return lines.select(F.from_csv(F.col(line), fields, {"ignoreLeadingWhiteSpace": "true",
-                                                         "ignoreTrailingWhiteSpace": "true"}).alias("r")).select("r.*")
+    return lines.select(request_record(F.col(line), fields).alias("r")).select("r.*")
 
 
 def request_counts(lines: DataFrame, line: str = "value") -> DataFrame:

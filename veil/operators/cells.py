@@ -7,7 +7,8 @@ result therefore see the newest version inside the time window.
 
 A cell is identified by (key, family, qualifier, timestamp). Should a table
 hold several rows for one cell, ``tie`` names the columns whose greater value
-wins, so results do not depend on the order of the rows.
+wins, so results do not depend on the order of the rows. Where the identity is
+known to hold, ``tie=()`` lets fixed-width columns use hash aggregation.
 """
 
 from __future__ import annotations
@@ -60,6 +61,8 @@ def _age(tie: Sequence[str]) -> Column:
 
 def _newest(match: Column, value: Column, tie: Sequence[str]) -> Column:
     """The newest ``value`` among matching cells; merges map-side, so hot keys stay cheap."""
+    if tuple(tie) == (VALUE,):
+        return F.max(F.when(match, F.struct(F.col(TS), F.col(VALUE))))[VALUE]
     return F.max_by(F.when(match, value), F.when(match, _age(tie)))
 
 
@@ -152,7 +155,7 @@ class _Decoder:
         return decode_value(value, self.stored, column.value_type)
 
     def early(self, column: CellColumn) -> bool:
-        """Decoding before the aggregation keeps its buffer fixed-width, hence hash-based."""
+        """Can the value be decoded before the aggregation, to keep its buffer fixed-width?"""
         return column.name not in self.custom and type(column.value_type) in FIXED_WIDTH
 
 
@@ -200,7 +203,8 @@ def to_rows(
     aggregates, after = [], {}
     for c in wanted:
         match = spec.match(c)
-        if decode.early(c):
+        if not tie and decode.early(c):
+            # fixed-width buffers: the aggregation is hash-based, without any sort
             aggregates.append(_newest(match, decode(c, F.col(VALUE)), tie).alias(c.name))
         else:
             aggregates.append(_newest(match, F.col(VALUE), tie).alias(c.name))

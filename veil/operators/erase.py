@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veil.operators.lookup import first_per_key
-from veil.runtime import measured
+from veil.runtime import fits_broadcast
 from veil.spec import CF, QUALIFIER, TS, VALUE, any_of
 
 # The replacement texts of erased fields.
@@ -24,7 +24,7 @@ MASKS = {
 # The family that holds the personal fields of a cell table.
 PERSONAL_FAMILY = "demographics"
 
-_KEY, _HIT = "_request", "_hit"
+_KEY = "_request"
 
 
 def request_keys(requests: DataFrame, key: str) -> DataFrame:
@@ -33,8 +33,32 @@ def request_keys(requests: DataFrame, key: str) -> DataFrame:
     return requests.select(text.alias(_KEY)).filter((F.col(_KEY) != "") & F.col(_KEY).isNotNull()).distinct()
 
 
-def _requested(target: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
-    return target.join(measured(keys), F.col(key).cast("string") == F.col(_KEY), how)
+class _Requested:
+    """The distinct request keys, measured once, and the joins with them.
+
+    Small requests are broadcast. Large ones are joined by shuffle, where
+    adaptive execution splits the partition of a key with very many rows.
+    """
+
+    def __init__(self, requests: DataFrame, key: str):
+        self.key = key
+        self.keys = request_keys(requests, key)
+        self.small = fits_broadcast(self.keys)
+
+    def small_side(self, df: DataFrame) -> DataFrame:
+        """Hint for a frame that is no larger than the requests."""
+        return F.broadcast(df) if self.small else df
+
+    def join(self, target: DataFrame, how: str, also: Column | None = None) -> DataFrame:
+        same = F.col(self.key).cast("string") == F.col(_KEY)
+        return target.join(self.small_side(self.keys), same if also is None else same & also, how)
+
+    def unmatched(self, target: DataFrame) -> DataFrame:
+        """Requested keys without a row: the target is first cut down to the requested keys."""
+        key = self.key
+        found = self.join(target.select(key), "left_semi").select(F.col(key).cast("string").alias(key)).distinct()
+        missing = self.keys.join(self.small_side(found), F.col(_KEY) == F.col(key), "left_anti")
+        return missing.select(F.col(_KEY).alias(key))
 
 
 def _masked(df: DataFrame, masks: Mapping[str, object], hit: Column | None) -> list[Column]:
@@ -44,7 +68,7 @@ def _masked(df: DataFrame, masks: Mapping[str, object], hit: Column | None) -> l
             mask = F.lit(masks[f.name]).cast(f.dataType)
             value = mask if hit is None else F.when(hit, mask).otherwise(F.col(f"`{f.name}`"))
             out.append(value.alias(f.name))
-        elif f.name not in (_KEY, _HIT):
+        elif f.name != _KEY:
             out.append(F.col(f"`{f.name}`"))
     return out
 
@@ -71,18 +95,18 @@ def mask(
         raise ValueError(f"the target has no column {missing}")
     if key in masks:
         raise ValueError("the key itself cannot be masked")
-    keys = request_keys(requests, key)
+    asked = _Requested(requests, key)
     if one_row_per_key:
         order = list(order) if order else [c for c in target.columns if c != key]
-        hits = first_per_key(_requested(target, keys, key, "left_semi"), key, *order)
+        hits = first_per_key(asked.join(target, "left_semi"), key, *order)
         hits = hits.select(*_masked(hits, masks, None))
-        out = _requested(target, keys, key, "left_anti").unionByName(hits)
+        out = asked.join(target, "left_anti").unionByName(hits)
     else:
-        flagged = _requested(target, keys, key, "left")
+        flagged = asked.join(target, "left")
         out = flagged.select(*_masked(flagged, masks, F.col(_KEY).isNotNull()))
     if upsert_unmatched:
         kind = target.schema[key].dataType
-        new = unmatched(target, requests, key).select(
+        new = asked.unmatched(target).select(
             *[
                 (F.col(key).cast(kind) if f.name == key else F.lit(masks.get(f.name)).cast(f.dataType)).alias(f.name)
                 for f in target.schema.fields
@@ -93,14 +117,8 @@ def mask(
 
 
 def unmatched(target: DataFrame, requests: DataFrame, key: str) -> DataFrame:
-    """Requested keys (text) without any row in the target.
-
-    The target is first cut down to the requested keys, so the anti join works
-    on two sets that are no larger than the requests.
-    """
-    keys = request_keys(requests, key)
-    found = _requested(target, keys, key, "left_semi").select(F.col(key).cast("string").alias(key)).distinct()
-    return keys.join(found, F.col(_KEY) == F.col(key), "left_anti").select(F.col(_KEY).alias(key))
+    """Requested keys (text) without any row in the target."""
+    return _Requested(requests, key).unmatched(target)
 
 
 def match_requests(target: DataFrame, requests: DataFrame, key: str) -> DataFrame:
@@ -108,12 +126,12 @@ def match_requests(target: DataFrame, requests: DataFrame, key: str) -> DataFram
 
     Unmatched requests appear once, with null columns.
     """
-    keys = request_keys(requests, key)
-    found = _requested(target, keys, key, "left_semi")
+    asked = _Requested(requests, key)
+    found = asked.join(target, "left_semi")
     text = F.col(key).cast("string").alias(key)
     rest = [F.col(f"`{c}`") for c in target.columns if c != key]
     hits = found.select(text, F.lit(True).alias("matched"), *rest)
-    misses = unmatched(target, requests, key).select(
+    misses = asked.unmatched(target).select(
         key, F.lit(False).alias("matched"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name != key],
     )
@@ -122,20 +140,20 @@ def match_requests(target: DataFrame, requests: DataFrame, key: str) -> DataFram
 
 def erase(target: DataFrame, requests: DataFrame, key: str) -> DataFrame:
     """The target without the rows of requested keys."""
-    return _requested(target, request_keys(requests, key), key, "left_anti")
+    return _Requested(requests, key).join(target, "left_anti")
 
 
 def audit(target: DataFrame, requests: DataFrame, key: str, fields: Sequence[str] | None = None) -> DataFrame:
     """Per request: rows found, and in how many of them each field was set. Counts only."""
     fields = [c for c in target.columns if c != key] if fields is None else list(fields)
-    keys = request_keys(requests, key)
+    asked = _Requested(requests, key)
     found = (
-        _requested(target.select(key, *fields), keys, key, "left_semi")
+        asked.join(target.select(key, *fields), "left_semi")
         .groupBy(F.col(key).cast("string").alias("_found"))
         .agg(F.count(F.lit(1)).alias("rows_found"), *[F.count(f"`{c}`").alias(f"{c}_found") for c in fields])
     )
     counts = ["rows_found", *[f"{c}_found" for c in fields]]
-    return keys.join(found, F.col(_KEY) == F.col("_found"), "left").select(
+    return asked.keys.join(asked.small_side(found), F.col(_KEY) == F.col("_found"), "left").select(
         F.col(_KEY).alias(key), *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in counts]
     )
 
@@ -182,5 +200,4 @@ def mask_cells(
 def purge(cells: DataFrame, requests: DataFrame, key: str, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Drop every version of the given (family, qualifier) pairs of the requested keys."""
     personal = any_of([(F.col(CF) == cf) & (F.col(QUALIFIER) == q) for cf, q in columns])
-    same = (F.col(key).cast("string") == F.col(_KEY)) & personal
-    return cells.join(measured(request_keys(requests, key)), same, "left_anti")
+    return _Requested(requests, key).join(cells, "left_anti", personal)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veil.functions.keys import build_key, split_key
-from veil.functions.requests import parse_records, parse_requests, request_key
+from veil.functions.requests import parse_requests, request_key, request_record
 from veil.functions.values import nested_text, nested_value, normalise
 from veil.operators import cells as C
 from veil.operators import predicates as P
@@ -475,9 +475,8 @@ def k7_parse_requests(spark, sf_dir):
         F.concat_ws(",", F.concat(F.lit(" K"), F.col("c_custkey"), F.lit(" ")), "c_mktsegment", "c_custkey",
                     "c_nationkey", "c_name").alias("value")
     )
-    records = parse_records(lines.select("value"))
-    keys = lines.select(request_key(F.col("value")).alias("key"))
-    return records.join(keys, F.col("rowkey") == F.col("key"), "inner")
+    value = F.col("value")
+    return lines.select(request_record(value).alias("r"), request_key(value).alias("key")).select("r.*", "key")
 
 
 @query

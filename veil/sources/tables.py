@@ -82,25 +82,29 @@ def stage_erasure(
     return staging, touched
 
 
-def publish_erasure(spark: SparkSession, path: str, staging: str | None, touched: Sequence[int]) -> None:
+def publish_erasure(
+    spark: SparkSession, path: str, staging: str | None, touched: Sequence[int], delete: bool = False
+) -> None:
     """Move a staged result into the table.
 
     The staging folder stays complete until the end, so an interrupted publish
     is repeated from it and never from a half-written table. A partition that
-    lost all its rows gets an empty replacement.
+    lost all its rows has nothing to replace it and is dropped.
     """
     if staging is None:
         return
-    schema = spark.read.parquet(path).schema
-    staged = spark.read.schema(schema).parquet(staging)
+    if not delete:
+        rewrite_partitions(spark.read.parquet(staging), path, [BUCKET])
+        return
+    staged = spark.read.schema(spark.read.parquet(path).schema).parquet(staging)
     kept = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
     rewrite_partitions(staged, path, [BUCKET])
-    emptied = [b for b in touched if b not in kept]
-    if emptied:
-        _drop_partitions(spark, path, emptied)
+    _drop_partitions(spark, path, [b for b in touched if b not in kept])
 
 
 def _drop_partitions(spark: SparkSession, path: str, buckets: Sequence[int]) -> None:
+    if not buckets:
+        return
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -114,7 +118,7 @@ def apply_to_table(
 ) -> list[int]:
     """Erase the requested keys in a bucketed table; returns the rewritten bucket numbers."""
     staging, touched = stage_erasure(spark, path, requests, key, buckets, masks, delete)
-    publish_erasure(spark, path, staging, touched)
+    publish_erasure(spark, path, staging, touched, delete)
     return touched
 
 

@@ -49,13 +49,13 @@ def _note(spark: SparkSession, path: str, **entry) -> None:
     spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append").json(path)
 
 
-def _entry(spark: SparkSession, path: str, batch: int, state: str) -> Row | None:
+def _states(spark: SparkSession, path: str, batch: int) -> dict[str, Row]:
+    """What the ledger knows of one batch, by state (at most a few rows)."""
     try:
-        known = read_ledger(spark, path).filter((F.col("batch") == batch) & (F.col("state") == state))
-        return known.first()
+        return {r["state"]: r for r in read_ledger(spark, path).filter(F.col("batch") == batch).collect()}
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return {}
         raise
 
 
@@ -64,9 +64,10 @@ def apply_batch(
     masks: Mapping | None = None, delete: bool = False,
 ) -> None:
     """Apply one batch of request lines to a bucketed table, exactly once."""
-    if _entry(spark, ledger, batch, "applied"):
+    known = _states(spark, ledger, batch)
+    if "applied" in known:
         return
-    staged = _entry(spark, ledger, batch, "staged")
+    staged = known.get("staged")
     if staged is None:
         lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -81,7 +82,7 @@ def apply_batch(
         _note(spark, ledger, state="staged", **entry)
     else:
         entry = {k: staged[k] for k in ("batch", "staging", "touched", "lines", "blank")}
-    publish_erasure(spark, table, entry["staging"], entry["touched"])
+    publish_erasure(spark, table, entry["staging"], entry["touched"], delete)
     _note(spark, ledger, state="applied", **entry)
 
 
