@@ -1,0 +1,36 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+SF_DIR = os.environ.get("VEIL_TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from veil.runtime import build_session
+
+    session = build_session(
+        "veil-tests",
+        "local[8]",
+        spark__sql__shuffle__partitions=8,
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+def rows(df):
+    """Rows as a sorted list of tuples."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
