@@ -66,6 +66,21 @@ def _newest(match: Column, value: Column, tie: Sequence[str]) -> Column:
     return F.max_by(F.when(match, value), F.when(match, _age(tie)))
 
 
+def _newest_value(tie: Sequence[str]) -> Column:
+    """The newest value of a group that holds the versions of one cell."""
+    if tuple(tie) == (VALUE,):
+        return F.max(F.struct(TS, VALUE))[VALUE]
+    return F.max_by(F.col(VALUE), _age(tie))
+
+
+def _one_value(value: Column, tie: Sequence[str]) -> Column:
+    """The value that counts among rows of the same cell and timestamp."""
+    tie = [c for c in tie if c != TS]
+    if tie in ([], [VALUE]):
+        return F.max(value)
+    return F.max_by(value, F.when(value.isNotNull(), F.struct(*tie)))
+
+
 def last_versions(
     cells: DataFrame, keys: Sequence[str], n: int | None = 1, tie: Sequence[str] = (VALUE,)
 ) -> DataFrame:
@@ -154,9 +169,14 @@ class _Decoder:
             return from_bytes(value, column.value_type)
         return decode_value(value, self.stored, column.value_type)
 
-    def early(self, column: CellColumn) -> bool:
-        """Can the value be decoded before the aggregation, to keep its buffer fixed-width?"""
-        return column.name not in self.custom and type(column.value_type) in FIXED_WIDTH
+    def early(self, column: CellColumn, tie: Sequence[str]) -> bool:
+        """Can the value be decoded before the aggregation, to keep its buffer fixed-width?
+
+        Only where that cannot change which of two tied values wins.
+        """
+        if column.name in self.custom or type(column.value_type) not in FIXED_WIDTH:
+            return False
+        return VALUE not in tie or self.stored == column.value_type
 
 
 def to_rows(
@@ -203,7 +223,7 @@ def to_rows(
     aggregates, after = [], {}
     for c in wanted:
         match = spec.match(c)
-        if not tie and decode.early(c):
+        if not tie and decode.early(c, tie):
             # fixed-width buffers: the aggregation is hash-based, without any sort
             aggregates.append(_newest(match, decode(c, F.col(VALUE)), tie).alias(c.name))
         else:
@@ -222,11 +242,11 @@ def _rows_with_maps(scoped, spec, names, wanted, decode, n, tie, split_maps_over
     if histories and n is None:
         raise ValueError("a series map needs max_versions; use series() for whole histories")
     # one row per cell: its newest value and, for histories, its versions
-    parts = [F.max_by(F.col(VALUE), _age(tie)).alias("_latest")]
+    parts = [_newest_value(tie).alias("_latest")]
     if histories:
         kept = last_versions(scoped, keys, n, tie)
         if n > 1:
-            kept = kept.groupBy(*cell, TS).agg(F.max_by(F.col(VALUE), _age(tie)).alias(VALUE))
+            kept = kept.groupBy(*cell, TS).agg(_one_value(F.col(VALUE), tie).alias(VALUE))
         source, parts = kept, [
             F.max_by(F.col(VALUE), F.col(TS)).alias("_latest"),
             F.collect_list(F.struct(F.col(TS), F.col(VALUE))).alias("_versions"),
@@ -324,17 +344,12 @@ def flatten_versions(
     out = names + ([TS] if keep_ts and TS not in names else [])
     if not wanted:
         return kept.select(*out).distinct()
-    by_tie = [c for c in tie if c != TS]
     aggregates, after = [], {}
     for c in wanted:
         match = spec.match(c)
-        early = decode.early(c)
+        early = decode.early(c, tie)
         value = decode(c, F.col(VALUE)) if early else F.col(VALUE)
-        if tuple(by_tie) in ((), (VALUE,)):
-            picked = F.max(F.when(match, value))
-        else:
-            picked = F.max_by(F.when(match, value), F.when(match, F.struct(*by_tie)))
-        aggregates.append(picked.alias(c.name))
+        aggregates.append(_one_value(F.when(match, value), tie).alias(c.name))
         if not early:
             after[c.name] = decode(c, F.col(f"`{c.name}`")).alias(c.name)
     rows = kept.groupBy(*group).agg(*aggregates).select(*[after.get(n, F.col(f"`{n}`")) for n in out])
@@ -448,12 +463,22 @@ def to_cells(df: DataFrame, spec, ts: int | None = None, stored: str | T.DataTyp
     )
 
 
+def _by_type(spec: CellSpec, convert: Callable[[T.DataType], Column], otherwise: Column) -> Column:
+    """Convert each cell by its column's value type, spelling every conversion once per type."""
+    out = otherwise
+    for kind in dict.fromkeys(c.value_type for c in spec.columns):
+        match = any_of([spec.match(c) for c in spec.columns if c.value_type == kind])
+        out = F.when(match, convert(kind)).otherwise(out)
+    return out
+
+
 def decode_cells(raw: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
-    """A dump of raw binary cells (key and value) as cells with typed keys and text values."""
+    """A dump of raw binary cells (key and value) as cells with typed keys and text values.
+
+    Cells of undeclared columns keep their place with a null value.
+    """
     spec = cell_spec(spec)
-    value = F.lit(None).cast("string")
-    for c in reversed(spec.columns):
-        value = F.when(spec.match(c), to_text(from_bytes(F.col(VALUE), c.value_type), c.value_type)).otherwise(value)
+    value = _by_type(spec, lambda kind: to_text(from_bytes(F.col(VALUE), kind), kind), F.lit(None).cast("string"))
     return raw.select(*key_parts(F.col(rowkey), spec.keys), CF, QUALIFIER, TS, value.alias(VALUE))
 
 
@@ -461,8 +486,7 @@ def encode_cells(cells: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
     """Cells with typed keys to raw binary cells: the way back of :func:`decode_cells`."""
     spec = cell_spec(spec)
     stored = cells.schema[VALUE].dataType
-    value = F.lit(None).cast("binary")
-    for c in reversed(spec.columns):
-        typed = decode_value(F.col(VALUE), stored, c.value_type)
-        value = F.when(spec.match(c), to_bytes(typed, c.value_type)).otherwise(value)
+    value = _by_type(
+        spec, lambda kind: to_bytes(decode_value(F.col(VALUE), stored, kind), kind), F.lit(None).cast("binary")
+    )
     return cells.select(key_bytes(spec.keys).alias(rowkey), CF, QUALIFIER, TS, value.alias(VALUE))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,38 +16,39 @@ def diff(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequen
 
     Keys on one side only list all their columns. A key that occurs more than
     once on a side has no single row to compare: it gives one ``duplicate``
-    row with the two row counts. Each side is brought down to one row per key
-    before the join, so repeated keys never multiply; the join reuses the
-    partitioning of those aggregates.
+    row with the two row counts. Both copies meet in one aggregation by key,
+    not in a join: one shuffle, and repeated keys are merged before it instead
+    of being paired.
     """
     keys = list(keys)
     columns = [c for c in left.columns if c not in keys] if columns is None else list(columns)
 
-    def side(df: DataFrame, mark: str) -> DataFrame:
+    def side(df: DataFrame, is_left: bool) -> DataFrame:
         image = F.struct(*[to_text(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in columns])
-        return df.groupBy(*[F.col(f"`{k}`").alias(f"{mark}_{k}") for k in keys]).agg(
-            F.max(image).alias(f"{mark}_row"), F.count(F.lit(1)).alias(f"{mark}_n")
+        return df.select(*[F.col(f"`{k}`") for k in keys], F.lit(is_left).alias("_left"), image.alias("_row"))
+
+    on_left = F.col("_left")
+    both = (
+        side(left, True).unionByName(side(right, False)).groupBy(*keys).agg(
+            F.max(F.when(on_left, F.col("_row"))).alias("l"),
+            F.max(F.when(~on_left, F.col("_row"))).alias("r"),
+            F.count_if(on_left).alias("n_left"),
+            F.count_if(~on_left).alias("n_right"),
         )
+    )
+    n_left, n_right = F.col("n_left"), F.col("n_right")
 
-    same = reduce(lambda x, y: x & y, [F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys])
-    both = side(left, "l").join(side(right, "r"), same, "full_outer")
-    n_left, n_right = F.col("l_n"), F.col("r_n")
-    text = F.lit(None).cast("string")
-
-    def entry(column, l: Column, r: Column, kind) -> Column:
+    def entry(column: str | None, l: Column, r: Column, kind) -> Column:
         return F.struct(
-            (F.lit(column) if column else text).alias("column"), l.alias("left"), r.alias("right"),
+            F.lit(column).cast("string").alias("column"), l.alias("left"), r.alias("right"),
             (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
         )
 
-    kind = F.when(n_right.isNull(), ONLY_LEFT).when(n_left.isNull(), ONLY_RIGHT).otherwise(CHANGED)
-    cells = F.array(*[entry(c, F.col("l_row")[c], F.col("r_row")[c], kind) for c in columns])
+    kind = F.when(n_right == 0, ONLY_LEFT).when(n_left == 0, ONLY_RIGHT).otherwise(CHANGED)
+    cells = F.array(*[entry(c, F.col("l")[c], F.col("r")[c], kind) for c in columns])
     differing = F.filter(cells, lambda e: (e["kind"] != CHANGED) | ~e["left"].eqNullSafe(e["right"]))
-    repeated = (F.coalesce(n_left, F.lit(0)) > 1) | (F.coalesce(n_right, F.lit(0)) > 1)
-    counts = F.array(entry(
-        None, F.coalesce(n_left, F.lit(0)).cast("string"), F.coalesce(n_right, F.lit(0)).cast("string"), DUPLICATE
-    ))
-    return both.select(
-        *[F.coalesce(F.col(f"l_{k}"), F.col(f"r_{k}")).alias(k) for k in keys],
-        F.inline(F.when(repeated, counts).otherwise(differing)),
+    counts = F.array(entry(None, n_left.cast("string"), n_right.cast("string"), DUPLICATE))
+    repeated = (n_left > 1) | (n_right > 1)
+    return both.filter(repeated | ~F.col("l").eqNullSafe(F.col("r"))).select(
+        *keys, F.inline(F.when(repeated, counts).otherwise(differing))
     )

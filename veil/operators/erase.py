@@ -54,11 +54,16 @@ class _Requested:
         return target.join(self.small_side(self.keys), same if also is None else same & also, how)
 
     def unmatched(self, target: DataFrame) -> DataFrame:
-        """Requested keys without a row: the target is first cut down to the requested keys."""
-        key = self.key
-        found = self.join(target.select(key), "left_semi").select(F.col(key).cast("string").alias(key)).distinct()
-        missing = self.keys.join(self.small_side(found), F.col(_KEY) == F.col(key), "left_anti")
-        return missing.select(F.col(_KEY).alias(key))
+        """Requested keys without a row: the target is first cut down to the requested keys.
+
+        Found and requested keys meet in an aggregation, where repeated keys
+        are merged before the shuffle.
+        """
+        text = F.col(self.key).cast("string")
+        found = self.join(target.select(self.key), "left_semi").select(text.alias(_KEY), F.lit(True).alias("_found"))
+        asked = self.keys.select(_KEY, F.lit(False).alias("_found"))
+        known = asked.unionByName(found).groupBy(_KEY).agg(F.bool_or("_found").alias("_found"))
+        return known.filter(~F.col("_found")).select(F.col(_KEY).alias(self.key))
 
 
 def _masked(df: DataFrame, masks: Mapping[str, object], hit: Column | None) -> list[Column]:

@@ -15,11 +15,12 @@ are ignored, touching ones merge.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 ROWS_PER_SLAB = 2_000_000
+# Slabs per filling of a slab by the biggest group: spare room for an uneven axis.
+SLABS_PER_FILL = 4
 
 
 def position(c: Column, kind: T.DataType) -> Column:
@@ -53,28 +54,30 @@ def _ends(df: DataFrame, by: Sequence[str], lo: str, hi: str, a: int, b: int) ->
     return points.select(*by, "t", (d * a).alias("da"), (d * b).alias("db"))
 
 
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be null."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
-    same = reduce(lambda x, y: x & y, [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in keys])
-    return left.join(renamed, same, "left").drop(*[f"_r_{c}" for c in keys])
+def _biggest_group(df: DataFrame, by: Sequence[str], lo: str, hi: str) -> tuple:
+    """Ends in the biggest group, and the span of all ends (one small job)."""
+    kind = df.schema[lo].dataType
+    p_lo, p_hi = position(F.col(lo), kind), position(F.col(hi), kind)
+    per_group = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.least(p_lo, p_hi)).alias("low"), F.max(F.greatest(p_lo, p_hi)).alias("high")
+    )
+    n, low, high = per_group.agg(F.max("n"), F.min("low"), F.max("high")).first()
+    return 2 * (n or 0), low, high
 
 
-def _covered(points: DataFrame, by: Sequence[str], two_sided: bool, rows_per_slab: int) -> DataFrame:
-    kind = points.schema["t"].dataType
-    p = position(F.col("t"), kind)
-    per_group = points.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.min(p).alias("low"), F.max(p).alias("high")
-    )
-    hottest, low, high = per_group.agg(F.max("n"), F.min("low"), F.max("high")).first()
+def _covered(
+    points: DataFrame, by: Sequence[str], two_sided: bool, biggest: tuple, rows_per_slab: int
+) -> DataFrame:
+    """Pieces of the axis where the running sums are positive (both of them, if two-sided)."""
     sums = [F.sum("da").alias("da"), F.sum("db").alias("db")]
     changed = (F.col("da") != 0) | (F.col("db") != 0)
 
     def on(a: Column, b: Column) -> Column:
         return (a > 0) & (b > 0) if two_sided else a > 0
 
+    n, low, high = biggest
     in_order = F.col("t").asc_nulls_first()
-    if (hottest or 0) <= rows_per_slab or low is None or low == high:
+    if n <= rows_per_slab or low is None or low == high:
         # every group fits one task: a single shuffle by group serves all steps
         placed = points.repartition(*by) if by else points
         steps = placed.groupBy(*by, "t").agg(*sums).filter(changed)
@@ -90,30 +93,30 @@ def _covered(points: DataFrame, by: Sequence[str], two_sided: bool, rows_per_sla
             .filter("on").drop("on")
         )
 
-    slabs = -(-4 * hottest // rows_per_slab)
-    width = (high - low) / slabs
+    p = position(F.col("t"), points.schema["t"].dataType)
+    width = (high - low) / -(-SLABS_PER_FILL * n // rows_per_slab)
     slab = F.coalesce(F.floor((p - F.lit(low)) / F.lit(width)).cast("bigint"), F.lit(-1).cast("bigint"))
-    steps = points.withColumn("slab", slab).groupBy(*by, "slab", "t").agg(*sums).filter(changed)
     cell = [*by, "slab"]
-    before = Window.partitionBy(*by).orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
-
-    def carried(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(before), F.lit(0).cast("bigint"))
-
-    carry = steps.groupBy(*cell).agg(*sums).select(*cell, carried("da").alias("a0"), carried("db").alias("b0"))
-    order = Window.partitionBy(*cell).orderBy(in_order)
-    running = order.rowsBetween(Window.unboundedPreceding, 0)
-    started = _join(steps, carry, cell)
-    a, b = F.col("a0") + F.sum("da").over(running), F.col("b0") + F.sum("db").over(running)
+    earlier = Window.partitionBy(*by).orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+    # what a slab inherits goes first in it, as one more row, so no join is needed
+    running = Window.partitionBy(*cell).orderBy("step", in_order).rowsBetween(Window.unboundedPreceding, 0)
+
+    def inherited(df: DataFrame, *columns: str) -> DataFrame:
+        carried = [F.coalesce(F.sum(c).over(earlier), F.lit(0).cast("bigint")).alias(c) for c in columns]
+        per_slab = df.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in columns])
+        return per_slab.select(*cell, *carried, F.lit(False).alias("step"))
+
+    steps = points.withColumn("slab", slab).groupBy(*cell, "t").agg(*sums).filter(changed)
+    steps = steps.withColumn("step", F.lit(True))
+    swept = steps.unionByName(inherited(steps, "da", "db"), allowMissingColumns=True)
+    a, b = F.sum("da").over(running), F.sum("db").over(running)
     edges = (
-        started.select(*cell, "t", on(a, b).alias("on"), on(a - F.col("da"), b - F.col("db")).alias("was"))
-        .filter(F.col("on") != F.col("was")).drop("was")
-    )
-    opened = F.col("on").cast("bigint")
-    counts = edges.groupBy(*cell).agg(F.sum(opened).alias("opens")).select(*cell, carried("opens").alias("n0"))
-    numbered = _join(edges, counts, cell).select(
-        *by, "t", "on", (F.col("n0") + F.sum(opened).over(running)).alias("piece")
+        swept.select(*cell, "t", "step", on(a, b).alias("on"), on(a - F.col("da"), b - F.col("db")).alias("was"))
+        .filter(F.col("step") & (F.col("on") != F.col("was")))
+        .select(*cell, "t", "step", "on", F.col("on").cast("bigint").alias("opens"))
     )
+    counted = edges.unionByName(inherited(edges, "opens"), allowMissingColumns=True)
+    numbered = counted.select(*by, "t", "step", "on", F.sum("opens").over(running).alias("piece")).filter("step")
     return (
         numbered.groupBy(*by, "piece")
         .agg(F.max(F.when(F.col("on"), F.col("t"))).alias("lo"), F.max(F.when(~F.col("on"), F.col("t"))).alias("hi"))
@@ -126,7 +129,8 @@ def interval_union(
 ) -> DataFrame:
     """Merge the overlapping and touching intervals of every group."""
     by = list(by)
-    return _covered(_ends(df, by, lo, hi, 1, 0), by, False, rows_per_slab)
+    biggest = _biggest_group(df, by, lo, hi)
+    return _covered(_ends(df, by, lo, hi, 1, 0), by, False, biggest, rows_per_slab)
 
 
 def interval_intersect(
@@ -135,5 +139,7 @@ def interval_intersect(
 ) -> DataFrame:
     """The parts of the axis covered by both sets, group by group."""
     by = list(by)
+    both = a.select(*by, lo, hi).unionByName(b.select(*by, lo, hi))
+    biggest = _biggest_group(both, by, lo, hi)
     points = _ends(a, by, lo, hi, 1, 0).unionByName(_ends(b, by, lo, hi, 0, 1))
-    return _covered(points, by, True, rows_per_slab)
+    return _covered(points, by, True, biggest, rows_per_slab)

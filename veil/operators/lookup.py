@@ -59,9 +59,9 @@ def range_lookup(df: DataFrame, ranges: DataFrame | Iterable[tuple], key: str) -
     kind = df.schema[key].dataType
     merged = interval_union(ranges.select(F.col("lo").cast(kind), F.col("hi").cast(kind)))
     p_lo, p_hi = position(F.col("lo"), kind), position(F.col("hi"), kind)
-    n, low, high, sum_lo, sum_hi, open_lo, open_hi = merged.agg(
+    n, low, high, sum_lo, sum_hi, open_lo, open_hi, first_lo, last_hi = merged.agg(
         F.count(F.lit(1)), F.min(F.least(p_lo, p_hi)), F.max(F.greatest(p_lo, p_hi)),
-        F.sum(p_lo), F.sum(p_hi), F.count_if(p_lo.isNull()), F.count_if(p_hi.isNull()),
+        F.sum(p_lo), F.sum(p_hi), F.count_if(p_lo.isNull()), F.count_if(p_hi.isNull()), F.min("lo"), F.max("hi"),
     ).first()
     if low is None:
         # no range at all, or the single one without any bound
@@ -87,7 +87,9 @@ def range_lookup(df: DataFrame, ranges: DataFrame | Iterable[tuple], key: str) -
         & (F.col("_lo").isNull() | (k >= F.col("_lo")))
         & (F.col("_hi").isNull() | (k < F.col("_hi")))
     )
-    return df.join(measured(cut), inside, "left_semi")
+    # the outer bounds are plain comparisons, which let the scan skip files and row groups
+    outer = _inside(k, None if open_lo else first_lo, None if open_hi else last_hi)
+    return df.filter(outer).join(measured(cut), inside, "left_semi")
 
 
 def in_key_order(df: DataFrame, *keys: str) -> DataFrame:
