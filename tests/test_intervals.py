@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from veil.operators.intervals import interval_intersect, interval_union
 
-LAWS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+LAWS = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 SETS = st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=12)
 
 

@@ -26,7 +26,7 @@ from veil.spec import (
     CF, FIXED_WIDTH, QUALIFIER, TS, VALUE, CellColumn, CellSpec, any_of, cell_spec, check_time_options, parse_type,
 )
 
-SALTS = 64
+SLICES = 4096
 MAP_PART = "map_part"
 
 
@@ -106,7 +106,7 @@ def last_versions(
     if n > int(cells.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         slices = Window.partitionBy(*cell, "_slice").orderBy(*newest_first)
         pruned = (
-            cells.withColumn("_slice", F.spark_partition_id() % SALTS)
+            cells.withColumn("_slice", F.spark_partition_id() % SLICES)
             .withColumn("_rank", F.row_number().over(slices))
             .filter(F.col("_rank") <= n)
             .drop("_slice", "_rank")

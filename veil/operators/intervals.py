@@ -15,9 +15,12 @@ are ignored, touching ones merge.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from veil.runtime import measured
+
 ROWS_PER_SLAB = 2_000_000
 # Slabs per filling of a slab by the biggest group: spare room for an uneven axis.
 SLABS_PER_FILL = 4
@@ -54,51 +57,39 @@ def _ends(df: DataFrame, by: Sequence[str], lo: str, hi: str, a: int, b: int) ->
     return points.select(*by, "t", (d * a).alias("da"), (d * b).alias("db"))
 
 
-def _biggest_group(df: DataFrame, by: Sequence[str], lo: str, hi: str) -> tuple:
-    """Ends in the biggest group, and the span of all ends (one small job)."""
-    kind = df.schema[lo].dataType
-    p_lo, p_hi = position(F.col(lo), kind), position(F.col(hi), kind)
-    per_group = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.least(p_lo, p_hi)).alias("low"), F.max(F.greatest(p_lo, p_hi)).alias("high")
-    )
-    n, low, high = per_group.agg(F.max("n"), F.min("low"), F.max("high")).first()
-    return 2 * (n or 0), low, high
+def _is_on(a: Column, b: Column, two_sided: bool) -> Column:
+    return (a > 0) & (b > 0) if two_sided else a > 0
 
 
-def _covered(
-    points: DataFrame, by: Sequence[str], two_sided: bool, biggest: tuple, rows_per_slab: int
-) -> DataFrame:
-    """Pieces of the axis where the running sums are positive (both of them, if two-sided)."""
-    sums = [F.sum("da").alias("da"), F.sum("db").alias("db")]
-    changed = (F.col("da") != 0) | (F.col("db") != 0)
+def _changes(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One row per group and position, where the sums really change."""
+    steps = df.groupBy(*group, "t").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
+    return steps.filter((F.col("da") != 0) | (F.col("db") != 0))
 
-    def on(a: Column, b: Column) -> Column:
-        return (a > 0) & (b > 0) if two_sided else a > 0
 
-    n, low, high = biggest
-    in_order = F.col("t").asc_nulls_first()
-    if n <= rows_per_slab or low is None or low == high:
-        # every group fits one task: a single shuffle by group serves all steps
-        placed = points.repartition(*by) if by else points
-        steps = placed.groupBy(*by, "t").agg(*sums).filter(changed)
-        order = Window.partitionBy(*by).orderBy(in_order)
-        running = order.rowsBetween(Window.unboundedPreceding, 0)
-        a, b = F.sum("da").over(running), F.sum("db").over(running)
-        edges = (
-            steps.select(*by, "t", on(a, b).alias("on"), on(a - F.col("da"), b - F.col("db")).alias("was"))
-            .filter(F.col("on") != F.col("was"))
-        )
-        return (
-            edges.select(*by, F.col("t").alias("lo"), F.lead("t").over(order).alias("hi"), "on")
-            .filter("on").drop("on")
-        )
+def _sweep(points: DataFrame, by: Sequence[str], two_sided: bool) -> DataFrame:
+    """Every group in one task: a single shuffle by group serves all steps."""
+    steps = _changes(points.repartition(*by) if by else points, by)
+    order = Window.partitionBy(*by).orderBy(F.col("t").asc_nulls_first())
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    a, b = F.sum("da").over(running), F.sum("db").over(running)
+    edges = steps.select(
+        *by, "t", _is_on(a, b, two_sided).alias("on"),
+        _is_on(a - F.col("da"), b - F.col("db"), two_sided).alias("was"),
+    ).filter(F.col("on") != F.col("was"))
+    pieces = edges.select(*by, F.col("t").alias("lo"), F.lead("t").over(order).alias("hi"), "on")
+    return pieces.filter("on").drop("on")
 
-    p = position(F.col("t"), points.schema["t"].dataType)
-    width = (high - low) / -(-SLABS_PER_FILL * n // rows_per_slab)
-    slab = F.coalesce(F.floor((p - F.lit(low)) / F.lit(width)).cast("bigint"), F.lit(-1).cast("bigint"))
+
+def _sweep_slabs(points: DataFrame, by: Sequence[str], two_sided: bool) -> DataFrame:
+    """Every slab of a group in a task of its own.
+
+    What a slab inherits from the slabs before it goes first in it, as one
+    more row, so no join is needed.
+    """
     cell = [*by, "slab"]
+    in_order = F.col("t").asc_nulls_first()
     earlier = Window.partitionBy(*by).orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
-    # what a slab inherits goes first in it, as one more row, so no join is needed
     running = Window.partitionBy(*cell).orderBy("step", in_order).rowsBetween(Window.unboundedPreceding, 0)
 
     def inherited(df: DataFrame, *columns: str) -> DataFrame:
@@ -106,12 +97,14 @@ def _covered(
         per_slab = df.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in columns])
         return per_slab.select(*cell, *carried, F.lit(False).alias("step"))
 
-    steps = points.withColumn("slab", slab).groupBy(*cell, "t").agg(*sums).filter(changed)
-    steps = steps.withColumn("step", F.lit(True))
+    steps = _changes(points, cell).withColumn("step", F.lit(True))
     swept = steps.unionByName(inherited(steps, "da", "db"), allowMissingColumns=True)
     a, b = F.sum("da").over(running), F.sum("db").over(running)
     edges = (
-        swept.select(*cell, "t", "step", on(a, b).alias("on"), on(a - F.col("da"), b - F.col("db")).alias("was"))
+        swept.select(
+            *cell, "t", "step", _is_on(a, b, two_sided).alias("on"),
+            _is_on(a - F.col("da"), b - F.col("db"), two_sided).alias("was"),
+        )
         .filter(F.col("step") & (F.col("on") != F.col("was")))
         .select(*cell, "t", "step", "on", F.col("on").cast("bigint").alias("opens"))
     )
@@ -124,13 +117,61 @@ def _covered(
     )
 
 
+def _covered(
+    sides: Sequence[tuple[DataFrame, int, int]], by: Sequence[str], lo: str, hi: str, rows_per_slab: int
+) -> DataFrame:
+    """Pieces of the axis that all sides cover.
+
+    The groups are measured first. Those that fit a task are swept as they
+    are; only the big ones are cut, each over its own part of the axis.
+    """
+    two_sided = len(sides) > 1
+
+    def together(frames: Sequence[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, frames)
+
+    def points(keep=lambda df: df, extra: Sequence[str] = ()) -> DataFrame:
+        return together([_ends(keep(df), [*by, *extra], lo, hi, a, b) for df, a, b in sides])
+
+    intervals = together([df.select(*by, lo, hi) for df, _, _ in sides])
+    kind = intervals.schema[lo].dataType
+    p_lo, p_hi = position(F.col(lo), kind), position(F.col(hi), kind)
+    ends = (F.count(F.lit(1)) * 2).alias("_n")
+    sizes = intervals.groupBy(*by).agg(
+        ends, F.min(F.least(p_lo, p_hi)).alias("_low"), F.max(F.greatest(p_lo, p_hi)).alias("_high")
+    )
+    biggest, low, high = sizes.agg(F.max("_n"), F.min("_low"), F.max("_high")).first()
+    if (biggest or 0) <= rows_per_slab:
+        return _sweep(points(), by, two_sided)
+
+    def cut(p: Column, first: Column, last: Column, n: Column) -> Column:
+        width = (last - first) / F.ceil(n * SLABS_PER_FILL / rows_per_slab)
+        number = F.when(last > first, F.floor((p - first) / F.when(width > 0, width)))
+        return F.when(p.isNull(), -1).otherwise(F.coalesce(number, F.lit(0))).cast("bigint")
+
+    p = position(F.col("t"), kind)
+    if not by:
+        slab = cut(p, F.lit(low).cast("double"), F.lit(high).cast("double"), F.lit(biggest))
+        return _sweep_slabs(points().withColumn("slab", slab), by, two_sided)
+
+    big = measured(
+        sizes.filter(F.col("_n") > rows_per_slab)
+        .select(*[F.col(c).alias(f"_big_{c}") for c in by], "_n", "_low", "_high")
+    )
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_big_{c}")) for c in by])
+    small_pieces = _sweep(points(lambda df: df.join(big, same, "left_anti")), by, two_sided)
+    extent = ["_n", "_low", "_high"]
+    big_points = points(lambda df: df.join(big, same), extent)
+    slab = cut(p, F.col("_low"), F.col("_high"), F.col("_n"))
+    big_pieces = _sweep_slabs(big_points.withColumn("slab", slab).drop(*extent), by, two_sided)
+    return small_pieces.unionByName(big_pieces)
+
+
 def interval_union(
     df: DataFrame, by: Sequence[str] = (), lo: str = "lo", hi: str = "hi", rows_per_slab: int = ROWS_PER_SLAB
 ) -> DataFrame:
     """Merge the overlapping and touching intervals of every group."""
-    by = list(by)
-    biggest = _biggest_group(df, by, lo, hi)
-    return _covered(_ends(df, by, lo, hi, 1, 0), by, False, biggest, rows_per_slab)
+    return _covered([(df, 1, 0)], list(by), lo, hi, rows_per_slab)
 
 
 def interval_intersect(
@@ -138,8 +179,4 @@ def interval_intersect(
     rows_per_slab: int = ROWS_PER_SLAB,
 ) -> DataFrame:
     """The parts of the axis covered by both sets, group by group."""
-    by = list(by)
-    both = a.select(*by, lo, hi).unionByName(b.select(*by, lo, hi))
-    biggest = _biggest_group(both, by, lo, hi)
-    points = _ends(a, by, lo, hi, 1, 0).unionByName(_ends(b, by, lo, hi, 0, 1))
-    return _covered(points, by, True, biggest, rows_per_slab)
+    return _covered([(a, 1, 0), (b, 0, 1)], list(by), lo, hi, rows_per_slab)
