@@ -67,6 +67,25 @@ def test_no_requests_change_nothing(spark, table):
     assert files(table) == before
 
 
+def test_catalog_table_by_name(spark, clients, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS people")
+    S.write_bucketed(clients, "people", "bp", N)
+    try:
+        S.apply_to_table(spark, "people", asked(spark, "3", "17"), "bp", N)
+        want = mask(clients, asked(spark, "3", "17"), "bp")
+        assert rows(spark.table("people").drop(S.BUCKET)) == rows(want)
+        gone = [r["bp"] for r in spark.table("people").filter(f"{S.BUCKET} = 2").collect()]
+        S.apply_to_table(spark, "people", asked(spark, "4", *gone), "bp", N, delete=True)
+        assert rows(spark.table("people").drop(S.BUCKET)) == rows(want.filter(~F.col("bp").isin(["4", *gone])))
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+        (tmp_path / "in").mkdir()
+        drop_file(tmp_path / "in", "a.csv", "9,x\n")
+        run(spark, tmp_path, "people")
+        assert S.read_table(spark, "people").filter("bp = '9'").first()["iban"] == MASKS["iban"]
+    finally:
+        spark.sql("DROP TABLE people")
+
+
 def test_rewrite_partitions_matches_by_name(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "p string, n int, s string")
@@ -178,7 +197,7 @@ def test_interrupted_publish_is_repeated_from_the_staged_copy(spark, clients, ta
 
     def broken(session, path, staging, touched, delete=False):
         # the worst moment: old partitions are gone, new ones are not there yet
-        S._drop_partitions(session, path, touched)
+        S.drop_buckets(session, path, touched)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,10 +16,20 @@ MIN_RANGES = 4
 
 
 # --- partitioned tables -----------------------------------------------------
+# A table is given by its path, or by its name in the session catalog.
 
-def read_table(spark: SparkSession, path: str, **partition_values) -> DataFrame:
+def _is_path(table: str) -> bool:
+    return "/" in table
+
+
+def read_table(spark: SparkSession, table: str, **partition_values) -> DataFrame:
     """A partitioned table, optionally only some partitions (pruned before any file is opened)."""
-    df = spark.read.parquet(path)
+    if _is_path(table):
+        df = spark.read.parquet(table)
+    else:
+        # another session (a stream has its own) may have replaced files since the last listing
+        spark.catalog.refreshTable(table)
+        df = spark.table(table)
     for name, value in partition_values.items():
         column = F.col(name)
         df = df.filter(column.isin(list(value)) if isinstance(value, (list, tuple, set)) else column == value)
@@ -35,26 +46,46 @@ def _spread(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_columns)
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
     """Write a table partitioned by the hash bucket of its key."""
     placed = df.withColumn(BUCKET, bucket_of(F.col(key), buckets))
-    _spread(placed, [BUCKET]).write.mode(mode).partitionBy(BUCKET).parquet(path)
-
-
-def rewrite_partitions(df: DataFrame, path: str, partition_columns: Sequence[str]) -> None:
+    writer = _spread(placed, [BUCKET]).write.mode(mode).partitionBy(BUCKET).format("parquet")
+    writer.save(table) if _is_path(table) else writer.saveAsTable(table)
+
+
+@contextmanager
+def _dynamic_partitions(spark: SparkSession) -> Iterator[None]:
+    """Inserts into a catalog table obey the session settings only, not the writer's options."""
+    wanted = {
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "hive.exec.dynamic.partition.mode": "nonstrict",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def rewrite_partitions(df: DataFrame, table: str, partition_columns: Sequence[str]) -> None:
     """Replace the partitions present in ``df``; all others stay as they are.
 
     Columns are matched by name and keep their types. ``df`` must not read from
-    ``path`` itself: write it to a staging folder first, as
+    the table itself: write it to a staging folder first, as
     :func:`apply_to_table` does.
     """
-    (
-        _spread(df, list(partition_columns))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
-        .parquet(path)
-    )
+    spread = _spread(df, list(partition_columns))
+    if _is_path(table):
+        writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_columns).parquet(table)
+        return
+    spark = df.sparkSession
+    in_table_order = spread.select(*spark.table(table).columns)
+    with _dynamic_partitions(spark):
+        in_table_order.write.mode("overwrite").insertInto(table)
 
 
 def touched_buckets(requests: DataFrame, key: str, buckets: int) -> list[int]:
@@ -65,7 +96,7 @@ def touched_buckets(requests: DataFrame, key: str, buckets: int) -> list[int]:
 
 
 def stage_erasure(
-    spark: SparkSession, path: str, requests: DataFrame, key: str, buckets: int,
+    spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int,
     masks: Mapping | None = None, delete: bool = False,
 ) -> tuple[str | None, list[int]]:
     """Write the new contents of all touched partitions to a staging folder.
@@ -75,7 +106,7 @@ def stage_erasure(
     touched = touched_buckets(requests, key, buckets)
     if not touched:
         return None, []
-    current = read_table(spark, path, **{BUCKET: touched})
+    current = read_table(spark, table, **{BUCKET: touched})
     changed = erase(current, requests, key) if delete else mask(current, requests, key, masks or MASKS)
     staging = work_dir(spark, "staging")
     _spread(changed, [BUCKET]).write.partitionBy(BUCKET).parquet(staging)
@@ -83,7 +114,7 @@ def stage_erasure(
 
 
 def publish_erasure(
-    spark: SparkSession, path: str, staging: str | None, touched: Sequence[int], delete: bool = False
+    spark: SparkSession, table: str, staging: str | None, touched: Sequence[int], delete: bool = False
 ) -> None:
     """Move a staged result into the table.
 
@@ -94,31 +125,37 @@ def publish_erasure(
     if staging is None:
         return
     if not delete:
-        rewrite_partitions(spark.read.parquet(staging), path, [BUCKET])
+        rewrite_partitions(spark.read.parquet(staging), table, [BUCKET])
         return
-    staged = spark.read.schema(spark.read.parquet(path).schema).parquet(staging)
+    staged = spark.read.schema(read_table(spark, table).schema).parquet(staging)
     kept = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
-    rewrite_partitions(staged, path, [BUCKET])
-    _drop_partitions(spark, path, [b for b in touched if b not in kept])
+    if kept:
+        rewrite_partitions(staged, table, [BUCKET])
+    drop_buckets(spark, table, [b for b in touched if b not in kept])
 
 
-def _drop_partitions(spark: SparkSession, path: str, buckets: Sequence[int]) -> None:
+def drop_buckets(spark: SparkSession, table: str, buckets: Sequence[int]) -> None:
+    """Drop whole partitions of a bucketed table."""
     if not buckets:
         return
+    if not _is_path(table):
+        parts = ", ".join(f"PARTITION ({BUCKET} = {int(b)})" for b in buckets)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
+        return
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
+    root = jvm.org.apache.hadoop.fs.Path(table)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for b in buckets:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={b}"), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={int(b)}"), True)
 
 
 def apply_to_table(
-    spark: SparkSession, path: str, requests: DataFrame, key: str, buckets: int,
+    spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int,
     masks: Mapping | None = None, delete: bool = False,
 ) -> list[int]:
     """Erase the requested keys in a bucketed table; returns the rewritten bucket numbers."""
-    staging, touched = stage_erasure(spark, path, requests, key, buckets, masks, delete)
-    publish_erasure(spark, path, staging, touched, delete)
+    staging, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete)
+    publish_erasure(spark, table, staging, touched, delete)
     return touched
 
 
