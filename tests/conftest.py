@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         "veil-tests",
         "local[8]",
         spark__sql__shuffle__partitions=8,
+        spark__sql__maxMetadataStringLength=20000,
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )

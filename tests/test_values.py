@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from tests.conftest import rows
 from veil.functions.codec import from_bytes, to_bytes
-from veil.functions.keys import build_key, key_block, split_key
+from veil.functions.keys import build_key, first_dimension, key_block, split_key
 from veil.functions.values import nested_text, nested_value, normalise, ntz_millis
 from veil.operators import cells as C
 
@@ -94,6 +94,22 @@ def test_key_block(spark):
     assert take(b"\xff") == [b"\xff", b"\xff\xff1"]
 
 
+@pytest.mark.parametrize("kind,bits", [("tinyint", 8), ("int", 32), ("bigint", 64)])
+def test_first_dimension_equals_typed_comparison(spark, kind, bits):
+    half = 1 << (bits - 1)
+    edges = sorted({-half, -half + 1, -100, -2, -1, 0, 1, 2, 100, half - 2, half - 1})
+    df = spark.createDataFrame([(v, s) for v in edges for s in ("", "x", "\u00ff\u00ff")], f"n {kind}, s string")
+    raw = build_key(df, [("n", kind), ("s", "string")])
+    tests = [(op, v) for op in ("=", "<", ">", "<=", ">=") for v in edges]
+    flags = [first_dimension(F.col("rowkey"), kind, op, v).alias(f"t{i}") for i, (op, v) in enumerate(tests)]
+    out = split_key(raw.select("rowkey", *flags), [("n", kind), ("s", "string")]).collect()
+    compare = {"=": int.__eq__, "<": int.__lt__, ">": int.__gt__, "<=": int.__le__, ">=": int.__ge__}
+    assert len(out) == 3 * len(edges)
+    for r in out:
+        for i, (op, v) in enumerate(tests):
+            assert bool(r[f"t{i}"]) == compare[op](r["n"], v), (op, v, r["n"])
+
+
 RAW_SPEC = {
     "key": [("id", "bigint"), ("name", "string")],
     "columns": {

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veil.functions.codec import from_bytes, to_bytes
-from veil.spec import KeyField, check_key_layout, parse_type
+from veil.spec import FIXED_WIDTH, KeyField, check_key_layout, parse_type
 
 
 def _dims(dims: Sequence) -> list[KeyField]:
@@ -60,3 +60,39 @@ def key_block(rowkey: Column, prefix: bytes) -> Column:
     if not trimmed:
         return lower
     return lower & (rowkey < F.lit(trimmed[:-1] + bytes([trimmed[-1] + 1])))
+
+
+def first_dimension(rowkey: Column, kind, op: str, value: int) -> Column:
+    """Predicate on an integer first dimension, put on the raw key itself.
+
+    The rows form one or two contiguous blocks of the key order, so a table
+    laid out by key range is pruned by file statistics; nothing is decoded.
+    Negative numbers lie behind the others in byte order.
+    """
+    width = FIXED_WIDTH[type(parse_type(kind))]
+    half = 1 << (8 * width - 1)
+    if not -half <= value < half:
+        raise ValueError(f"{value} does not fit into {width} bytes")
+    if op in ("<=", ">="):
+        edge = -half if op == ">=" else half - 1
+        if value == edge:
+            return rowkey.isNotNull()
+        return first_dimension(rowkey, kind, op[0], value + (1 if op == "<=" else -1))
+
+    def key(v: int) -> Column:
+        return F.lit(v.to_bytes(width, "big", signed=True))
+
+    negatives = rowkey >= key(-half)
+    if op == "=":
+        return key_block(rowkey, value.to_bytes(width, "big", signed=True))
+    if op == "<":
+        if value > 0:
+            return (rowkey < key(value)) | negatives
+        return negatives if value == 0 else negatives & (rowkey < key(value))
+    if op == ">":
+        if value == half - 1:
+            return rowkey.isNull() & rowkey.isNotNull()
+        if value >= -1:
+            return (rowkey >= key(value + 1)) & ~negatives
+        return (rowkey >= key(value + 1)) | ~negatives
+    raise ValueError(f"unknown comparison {op!r}")

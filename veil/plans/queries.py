@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veil.functions.keys import build_key, split_key
+from veil.functions.keys import build_key, first_dimension, split_key
 from veil.functions.requests import parse_requests, request_key, request_record
 from veil.functions.values import nested_text, nested_value, normalise
 from veil.operators import cells as C
@@ -246,8 +246,9 @@ def p16_not_contains(spark, sf_dir):
 @query
 def p17_first_dimension(spark, sf_dir):
     raw = build_key(X.table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value"), COMPOSITE)
-    user = F.col("user_id")
-    return split_key(raw, COMPOSITE).filter((user == 7) | (user < 3) | (user > 12))
+    key = F.col("rowkey")
+    asked = [first_dimension(key, "bigint", op, v) for op, v in (("=", 7), ("<", 3), (">", 12))]
+    return split_key(raw.filter(asked[0] | asked[1] | asked[2]), COMPOSITE)
 
 
 @query
