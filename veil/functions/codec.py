@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from veil.spec import FIXED_WIDTH
+
 # Fixed values of the byte format.
 TRUE_BYTE = "FF"
 FALSE_BYTE = "00"
@@ -22,26 +24,41 @@ def _long_to_bytes(c: Column, width: int) -> Column:
     return F.unhex(F.substring(digits, 17 - 2 * width, 2 * width))
 
 
-def _bytes_to_long(c: Column, width: int) -> Column:
-    number = F.conv(F.hex(c), 16, -10).cast("bigint")
+def bits(c: Column) -> Column:
+    """The first eight bytes of a value as a number, big-endian."""
+    return F.conv(F.hex(F.substring(c, 1, 8)), 16, -10).cast("bigint")
+
+
+def _signed(number: Column, width: int) -> Column:
     if width == 8:
         return number
     half, whole = 1 << (8 * width - 1), 1 << (8 * width)
     return F.when(number >= half, number - F.lit(whole)).otherwise(number)
 
 
-def _ieee_to_bits(x: Column, form: dict) -> Column:
-    digits, bias = form["digits"], form["bias"]
-    a = F.abs(x)
-    two = F.lit(2.0)
-    guess = F.floor(F.log2(a)).cast("int")
-    # the logarithm may be off by one next to a power of two
-    exponent = (
+def _form(kind: T.DataType) -> dict:
+    return _WIDE if isinstance(kind, T.DoubleType) else _NARROW
+
+
+def _guess(x: Column) -> Column:
+    finite = F.abs(x) < float("inf")
+    return F.when(finite, F.floor(F.log2(F.abs(x)))).cast("int")
+
+
+def _exponent(x: Column, guess: Column) -> Column:
+    """The logarithm may be off by one next to a power of two."""
+    a, two = F.abs(x), F.lit(2.0)
+    return (
         guess
         + F.when(a >= F.pow(two, guess + 1), 1).otherwise(0)
         - F.when(a < F.pow(two, guess), 1).otherwise(0)
     )
-    scaled = (a / F.pow(two, exponent) - 1.0) * float(2**digits)
+
+
+def _ieee_to_bits(x: Column, exponent: Column, form: dict) -> Column:
+    digits, bias = form["digits"], form["bias"]
+    a = F.abs(x)
+    scaled = (a / F.pow(F.lit(2.0), exponent) - 1.0) * float(2**digits)
     normal = F.shiftleft((exponent + bias).cast("bigint"), digits) + scaled.cast("bigint")
     tiny = (a / F.lit(2.0 ** (1 - bias - digits))).cast("bigint")
     infinite = F.lit(form["max_exponent"] << digits).cast("bigint")
@@ -52,16 +69,30 @@ def _ieee_to_bits(x: Column, form: dict) -> Column:
         .otherwise(normal)
     )
     negative = (x < 0) | ((x == 0) & x.cast("string").startswith("-"))
-    width = 64 if form is _WIDE else 32
-    sign = F.lit(-(1 << 63) if width == 64 else 1 << 31).cast("bigint")
+    sign = F.lit(-(1 << 63) if form is _WIDE else 1 << 31).cast("bigint")
     return F.when(x.isNotNull(), F.when(negative, magnitude.bitwiseOR(sign)).otherwise(magnitude))
 
 
-def _bits_to_ieee(bits: Column, form: dict) -> Column:
+def float_steps(x: Column, kind: T.DataType, prefix: str) -> list[tuple[str, Column]]:
+    """Columns to add one after the other; the last one holds the bits of ``x``.
+
+    In steps, every part is computed once per row. Inside one expression the
+    branches of a condition would compute shared parts again and again.
+    """
+    wide, guess, exponent = F.col(f"{prefix}_x"), F.col(f"{prefix}_guess"), F.col(f"{prefix}_exponent")
+    return [
+        (f"{prefix}_x", x.cast("double")),
+        (f"{prefix}_guess", _guess(wide)),
+        (f"{prefix}_exponent", _exponent(wide, guess)),
+        (f"{prefix}_bits", _ieee_to_bits(wide, exponent, _form(kind))),
+    ]
+
+
+def _bits_to_ieee(number: Column, form: dict) -> Column:
     digits, bias = form["digits"], form["bias"]
-    exponent = F.shiftright(bits, digits).bitwiseAND(F.lit(form["max_exponent"]).cast("bigint"))
-    mantissa = bits.bitwiseAND(F.lit((1 << digits) - 1).cast("bigint"))
-    sign_bit = F.shiftrightunsigned(bits, 63 if form is _WIDE else 31).bitwiseAND(F.lit(1).cast("bigint"))
+    exponent = F.shiftright(number, digits).bitwiseAND(F.lit(form["max_exponent"]).cast("bigint"))
+    mantissa = number.bitwiseAND(F.lit((1 << digits) - 1).cast("bigint"))
+    sign_bit = F.shiftrightunsigned(number, 63 if form is _WIDE else 31).bitwiseAND(F.lit(1).cast("bigint"))
     sign = F.when(sign_bit == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
     power = F.pow(F.lit(2.0), (exponent - (bias + digits)).cast("double"))
     magnitude = (
@@ -85,10 +116,9 @@ def to_bytes(c: Column, kind: T.DataType, length: int | None = None) -> Column:
         out = _long_to_bytes(c, 4)
     elif isinstance(kind, T.LongType):
         out = _long_to_bytes(c, 8)
-    elif isinstance(kind, T.DoubleType):
-        out = _long_to_bytes(_ieee_to_bits(c, _WIDE), 8)
-    elif isinstance(kind, T.FloatType):
-        out = _long_to_bytes(_ieee_to_bits(c.cast("double"), _NARROW), 4)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        x = c.cast("double")
+        out = bits_to_bytes(_ieee_to_bits(x, _exponent(x, _guess(x)), _form(kind)), kind)
     elif isinstance(kind, T.StringType):
         out = F.encode(c, "utf-8")
     elif isinstance(kind, T.BinaryType):
@@ -101,22 +131,26 @@ def to_bytes(c: Column, kind: T.DataType, length: int | None = None) -> Column:
     return out
 
 
-def from_bytes(c: Column, kind: T.DataType) -> Column:
-    """Typed value of raw bytes written by :func:`to_bytes`."""
+def bits_to_bytes(number: Column, kind: T.DataType) -> Column:
+    """Raw bytes of a number whose bits are at hand."""
+    return _long_to_bytes(number, FIXED_WIDTH[type(kind)])
+
+
+def from_bits(number: Column, kind: T.DataType) -> Column:
+    """Typed value from :func:`bits`."""
     if isinstance(kind, T.BooleanType):
-        return F.hex(c) != FALSE_BYTE
-    if isinstance(kind, T.ByteType):
-        return _bytes_to_long(c, 1).cast("tinyint")
-    if isinstance(kind, T.ShortType):
-        return _bytes_to_long(c, 2).cast("smallint")
-    if isinstance(kind, T.IntegerType):
-        return _bytes_to_long(c, 4).cast("int")
-    if isinstance(kind, T.LongType):
-        return _bytes_to_long(c, 8)
+        return number != 0
     if isinstance(kind, T.DoubleType):
-        return _bits_to_ieee(_bytes_to_long(c, 8), _WIDE)
+        return _bits_to_ieee(number, _WIDE)
     if isinstance(kind, T.FloatType):
-        return _bits_to_ieee(_bytes_to_long(c, 4), _NARROW).cast("float")
+        return _bits_to_ieee(_signed(number, 4), _NARROW).cast("float")
+    return _signed(number, FIXED_WIDTH[type(kind)]).cast(kind)
+
+
+def from_bytes(c: Column, kind: T.DataType) -> Column:
+    """Typed value of raw bytes written by :func:`to_bytes`."""
+    if type(kind) in FIXED_WIDTH:
+        return from_bits(bits(c), kind)
     if isinstance(kind, T.StringType):
         return F.decode(c, "utf-8")
     if isinstance(kind, T.BinaryType):

@@ -18,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from veil.functions.codec import from_bytes, to_bytes
+from veil.functions.codec import bits, bits_to_bytes, float_steps, from_bits, from_bytes, to_bytes
 from veil.functions.keys import key_bytes, key_parts
 from veil.functions.values import decode_value, encode_value, to_text
 from veil.runtime import measured
@@ -478,7 +478,16 @@ def decode_cells(raw: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
     Cells of undeclared columns keep their place with a null value.
     """
     spec = cell_spec(spec)
-    value = _by_type(spec, lambda kind: to_text(from_bytes(F.col(VALUE), kind), kind), F.lit(None).cast("string"))
+    numbers = [c for c in spec.columns if type(c.value_type) in FIXED_WIDTH]
+    if numbers:
+        # a projection of its own, so every value is read once
+        raw = raw.withColumn("_bits", F.when(any_of([spec.match(c) for c in numbers]), bits(F.col(VALUE))))
+
+    def text(kind: T.DataType) -> Column:
+        typed = from_bits(F.col("_bits"), kind) if type(kind) in FIXED_WIDTH else from_bytes(F.col(VALUE), kind)
+        return to_text(typed, kind)
+
+    value = _by_type(spec, text, F.lit(None).cast("string"))
     return raw.select(*key_parts(F.col(rowkey), spec.keys), CF, QUALIFIER, TS, value.alias(VALUE))
 
 
@@ -486,7 +495,18 @@ def encode_cells(cells: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
     """Cells with typed keys to raw binary cells: the way back of :func:`decode_cells`."""
     spec = cell_spec(spec)
     stored = cells.schema[VALUE].dataType
-    value = _by_type(
-        spec, lambda kind: to_bytes(decode_value(F.col(VALUE), stored, kind), kind), F.lit(None).cast("binary")
-    )
+    floats = {}
+    for kind in dict.fromkeys(c.value_type for c in spec.columns):
+        if not isinstance(kind, (T.FloatType, T.DoubleType)):
+            continue
+        match = any_of([spec.match(c) for c in spec.columns if c.value_type == kind])
+        typed = F.when(match, decode_value(F.col(VALUE), stored, kind))
+        for name, step in float_steps(typed, kind, f"_{kind.simpleString()}"):
+            cells = cells.withColumn(name, step)
+        floats[kind] = bits_to_bytes(F.col(name), kind)
+
+    def raw_bytes(kind: T.DataType) -> Column:
+        return floats[kind] if kind in floats else to_bytes(decode_value(F.col(VALUE), stored, kind), kind)
+
+    value = _by_type(spec, raw_bytes, F.lit(None).cast("binary"))
     return cells.select(key_bytes(spec.keys).alias(rowkey), CF, QUALIFIER, TS, value.alias(VALUE))
