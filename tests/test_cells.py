@@ -283,7 +283,7 @@ def test_one_clock_value_per_write(spark):
     assert C.to_cells(df, SPEC).select("ts").distinct().count() == 1
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(
     st.tuples(st.text("abc", min_size=1, max_size=2), st.sampled_from(["a", "b", "x"]), st.integers(1, 5),
               st.integers(0, 99)), min_size=1, max_size=25, unique_by=lambda t: t[:3]))

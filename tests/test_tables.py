@@ -219,3 +219,43 @@ def test_ledger_holds_no_keys(spark, table, tmp_path):
     E.apply_batch(spark, spark.createDataFrame([("secret-key-55",)], "value string"), 0, table, "bp", N, ledger)
     text = "".join(p.read_text() for p in Path(ledger).glob("*.json"))
     assert "secret-key-55" not in text and MASKS["iban"] not in text
+
+
+CELL_SPEC = {"key": [("bp", "string")], "columns": {
+    n: {"cf": "demographics", "col": n, "type": "string"} for n in ("iban", "street")}}
+
+
+def test_cell_stream_appends_masks_only(spark, clients, tmp_path):
+    path = str(tmp_path / "cells")
+    S.append_cells(C.to_cells(clients.drop("age"), CELL_SPEC, ts=1), path)
+    before = files(path)
+    (tmp_path / "in").mkdir()
+    drop_file(tmp_path / "in", "a.csv", "5,x\n5\n\nnew\n")
+    for _ in range(2):
+        E.run_cell_stream(spark, str(tmp_path / "in"), path, str(tmp_path / "checkpoint"), "bp", once=True
+                          ).awaitTermination()
+    after = files(path)
+    assert all(after[p] == t for p, t in before.items())
+    cells = S.read_cells(spark, path)
+    assert cells.filter("ts > 1").count() == 4
+    want = mask(clients.drop("age"), asked(spark, "5", "new"), "bp", upsert_unmatched=True)
+    assert rows(C.to_rows(cells, CELL_SPEC)) == rows(want)
+    # a batch repeated after a crash leaves the views as they are
+    lines = spark.createDataFrame([("5",)], "value string")
+    for n in range(2):
+        E.apply_cell_batch(spark, lines, 7, path, "bp", str(tmp_path / f"other{n}"))
+    assert rows(C.to_rows(S.read_cells(spark, path), CELL_SPEC)) == rows(want)
+
+
+def test_job_arguments(spark, clients, table, tmp_path):
+    from veil.streaming import job
+
+    (tmp_path / "in").mkdir()
+    drop_file(tmp_path / "in", "a.csv", "8\n")
+    base = ["--requests", str(tmp_path / "in"), "--checkpoint", str(tmp_path / "checkpoint"), "--once"]
+    job.main([*base, "--table", table, "--buckets", str(N), "--mask", "iban=gone", "--mask", "street=a=b"])
+    assert rows(plain(spark, table).filter("bp = '8'")) == [("8", "gone", "a=b", 8)]
+    assert job.arguments([*base, "--cells", "/x"]).masks == MASKS
+    for wrong in (["--table", table], ["--table", table, "--cells", "/x", "--buckets", "8"], []):
+        with pytest.raises(SystemExit):
+            job.arguments([*base, *wrong])

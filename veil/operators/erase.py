@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from veil.operators.lookup import first_per_key
 from veil.runtime import fits_broadcast
-from veil.spec import CF, QUALIFIER, TS, VALUE, any_of
+from veil.spec import CF, QUALIFIER, TS, VALUE, any_of, parse_type
 
 # The replacement texts of erased fields.
 MASKS = {
@@ -168,6 +168,22 @@ def _mask_list(masks: Mapping, family: str) -> list[tuple[str, str, object]]:
     return [(*(k if isinstance(k, tuple) else (family, k)), v) for k, v in masks.items()]
 
 
+def mask_entries(
+    requests: DataFrame, key: str, ts: int, masks: Mapping | None = None, *, family: str = PERSONAL_FAMILY,
+    key_type: str | T.DataType = "string", value_type: str | T.DataType = "string",
+) -> DataFrame:
+    """The mask cells alone: one per distinct requested key and masked qualifier."""
+    key_type, value_type = parse_type(key_type), parse_type(value_type)
+    cells = [
+        F.struct(
+            F.lit(cf).alias(CF), F.lit(q).alias(QUALIFIER), F.lit(ts).cast("bigint").alias(TS),
+            F.lit(v).cast(value_type).alias(VALUE),
+        )
+        for cf, q, v in _mask_list(MASKS if masks is None else masks, family)
+    ]
+    return request_keys(requests, key).select(F.col(_KEY).cast(key_type).alias(key), F.inline(F.array(*cells)))
+
+
 def mask_cells(
     cells: DataFrame,
     requests: DataFrame,
@@ -184,22 +200,14 @@ def mask_cells(
     read by version or time; with it they are dropped. A requested key gets its
     mask cells even if it had no cell before, as an upsert would do.
     """
-    entries = _mask_list(MASKS if masks is None else masks, family)
-    kind = cells.schema[key].dataType
-    stored = cells.schema[VALUE].dataType
-    keys = request_keys(requests, key)
-    new = keys.select(
-        F.col(_KEY).cast(kind).alias(key),
-        F.inline(F.array(*[
-            F.struct(
-                F.lit(cf).alias(CF), F.lit(q).alias(QUALIFIER), F.lit(ts).cast("bigint").alias(TS),
-                F.lit(v).cast(stored).alias(VALUE),
-            )
-            for cf, q, v in entries
-        ])),
+    new = mask_entries(
+        requests, key, ts, masks, family=family,
+        key_type=cells.schema[key].dataType, value_type=cells.schema[VALUE].dataType,
     )
-    kept = purge(cells, requests, key, [(cf, q) for cf, q, _ in entries]) if purge_history else cells
-    return kept.unionByName(new, allowMissingColumns=True)
+    if purge_history:
+        pairs = [(cf, q) for cf, q, _ in _mask_list(MASKS if masks is None else masks, family)]
+        cells = purge(cells, requests, key, pairs)
+    return cells.unionByName(new, allowMissingColumns=True)
 
 
 def purge(cells: DataFrame, requests: DataFrame, key: str, columns: Sequence[tuple[str, str]]) -> DataFrame:

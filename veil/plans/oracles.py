@@ -235,4 +235,5 @@ ORACLES: dict[str, str] = {
         count(iban) AS iban_found, count(street) AS street_found
       FROM asked LEFT JOIN accounts ON asked.bp = accounts.bp GROUP BY asked.bp""",
     "e9_stream": MASKED_CLIENTS,
+    "e9_cell_stream": MASKED_CLIENTS,
 }

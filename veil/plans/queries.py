@@ -18,7 +18,7 @@ from veil.operators.lookup import difference, first_per_key, in_key_order, looku
 from veil.plans import fixtures as X
 from veil.runtime import work_dir
 from veil.sources import tables as S
-from veil.streaming.erasure import request_stream, run_stream
+from veil.streaming.erasure import request_stream, run_cell_stream, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -542,3 +542,12 @@ def e9_stream(spark, sf_dir):
     X.request_lines(spark, sf_dir).write.text(f"{base}/in")
     run_stream(spark, f"{base}/in", f"{base}/clients", f"{base}/checkpoint", "bp", 16, once=True).awaitTermination()
     return S.read_table(spark, f"{base}/clients").drop(S.BUCKET)
+
+
+@query
+def e9_cell_stream(spark, sf_dir):
+    base = work_dir(spark, "cell-stream")
+    S.append_cells(_clients_as_cells(spark, sf_dir), f"{base}/cells")
+    X.request_lines(spark, sf_dir).write.text(f"{base}/in")
+    run_cell_stream(spark, f"{base}/in", f"{base}/cells", f"{base}/checkpoint", "bp", once=True).awaitTermination()
+    return C.to_rows(S.read_cells(spark, f"{base}/cells"), X.CLIENT_SPEC)

@@ -28,8 +28,9 @@ def build_session(app_name: str = "veil", master: str | None = None, **conf) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.ui.enabled": "false",
     }
+    if master and master.startswith("local"):
+        settings["spark.ui.enabled"] = "false"
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -8,6 +8,7 @@ that was already applied.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -15,8 +16,10 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from veil.functions.requests import parse_requests, request_key
-from veil.sources.tables import publish_erasure, stage_erasure
+from veil.functions.requests import parse_requests, request_counts
+from veil.operators.erase import PERSONAL_FAMILY, mask_entries
+from veil.sources.tables import append_cells, publish_erasure, read_cells, stage_erasure
+from veil.spec import VALUE
 
 # Fixed value: the micro-batch interval.
 BATCH_INTERVAL = "10 seconds"
@@ -71,9 +74,7 @@ def apply_batch(
     if staged is None:
         lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            total, blank = lines.agg(
-                F.count(F.lit(1)), F.count_if(request_key(F.col("value")).isNull())
-            ).first()
+            total, blank = request_counts(lines).first()
             requests = parse_requests(lines, key)
             staging, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete)
         finally:
@@ -86,6 +87,38 @@ def apply_batch(
     _note(spark, ledger, state="applied", **entry)
 
 
+def apply_cell_batch(
+    spark: SparkSession, lines: DataFrame, batch: int, cells: str, key: str, ledger: str,
+    masks: Mapping | None = None, family: str = PERSONAL_FAMILY, ts: int | None = None,
+) -> None:
+    """Append the mask cells of one batch to a cell table.
+
+    A batch that is repeated after a crash appends the same masks once more,
+    which leaves every view of the table as it was.
+    """
+    if "applied" in _states(spark, ledger, batch):
+        return
+    stored = read_cells(spark, cells).schema
+    requests = parse_requests(lines, key)
+    clock = int(time.time() * 1000) if ts is None else ts
+    new = mask_entries(
+        requests, key, clock, masks, family=family, key_type=stored[key].dataType, value_type=stored[VALUE].dataType
+    )
+    append_cells(new, cells)
+    total, blank = request_counts(lines).first()
+    _note(spark, ledger, batch=batch, state="applied", lines=total, blank=blank)
+
+
+def _start(spark, request_dir, checkpoint, once, files_per_batch, handle) -> StreamingQuery:
+    writer = (
+        request_stream(spark, request_dir, files_per_batch)
+        .writeStream.option("checkpointLocation", f"{checkpoint}/progress")
+        .foreachBatch(handle)
+    )
+    trigger = {"availableNow": True} if once else {"processingTime": BATCH_INTERVAL}
+    return writer.trigger(**trigger).start()
+
+
 def run_stream(
     spark: SparkSession,
     request_dir: str,
@@ -99,7 +132,7 @@ def run_stream(
     once: bool = False,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Start erasing from a folder of request files.
+    """Start erasing from a folder of request files, in a bucketed table.
 
     ``once`` handles what is there and stops; otherwise a batch starts every
     ten seconds. The checkpoint folder holds the stream's progress and the
@@ -110,10 +143,26 @@ def run_stream(
             lines.sparkSession, lines, batch, table, key, buckets, f"{checkpoint}/ledger", masks, delete
         )
 
-    writer = (
-        request_stream(spark, request_dir, files_per_batch)
-        .writeStream.option("checkpointLocation", f"{checkpoint}/progress")
-        .foreachBatch(handle)
-    )
-    trigger = {"availableNow": True} if once else {"processingTime": BATCH_INTERVAL}
-    return writer.trigger(**trigger).start()
+    return _start(spark, request_dir, checkpoint, once, files_per_batch, handle)
+
+
+def run_cell_stream(
+    spark: SparkSession,
+    request_dir: str,
+    cells: str,
+    checkpoint: str,
+    key: str,
+    masks: Mapping | None = None,
+    *,
+    family: str = PERSONAL_FAMILY,
+    once: bool = False,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """The same for a cell table: newer mask cells are appended, nothing is read or rewritten.
+
+    Older versions stay readable until the table is purged.
+    """
+    def handle(lines: DataFrame, batch: int) -> None:
+        apply_cell_batch(lines.sparkSession, lines, batch, cells, key, f"{checkpoint}/ledger", masks, family)
+
+    return _start(spark, request_dir, checkpoint, once, files_per_batch, handle)
