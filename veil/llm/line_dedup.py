@@ -70,16 +70,9 @@ def _line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def _matches(pairs: DataFrame, feats: DataFrame, docs: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
-    """Pairs (doc_id1, line1, doc_id2, line2) that reach the threshold."""
-    for i in (1, 2):
-        side = feats.select(*(F.col(c).alias(f"{c}{i}") for c in KEY), *(F.col(c).alias(f"{c}_{i}") for c in ("n", *J.BITS)))
-        pairs = pairs.join(side, [f"{c}{i}" for c in KEY])
-    bits = [[F.col(f"{c}_{i}") for c in J.BITS] for i in (1, 2)]
-    ids = ["doc_id1", "line1", "doc_id2", "line2"]
-    near = stored(
-        pairs.where(J.may_match(F.col("n_1"), F.col("n_2"), *bits, percent)).select(*ids).distinct(), "line-candidates"
-    )
+def _matches(pairs: DataFrame, docs: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
+    """Pairs (doc_id1, line1, doc_id2, line2) that reach the threshold; ``pairs`` has passed the filters."""
+    near = stored(pairs, "line-candidates")
     lines = near.select("doc_id1", "line1").union(near.select("doc_id2", "line2")).toDF(*KEY).distinct()
     return stored(J.verify(near, _line_texts(docs, lines), KEY, k, percent, lower), "line-matches")
 
@@ -96,27 +89,34 @@ def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool =
     at = F.struct(*KEY)
     sets = ["n", "sig0", "sig1"]
     first = feats.groupBy(*sets).agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("copies"))
-    first = stored(first.select(*sets, "copies", "first.*"), "line-classes")
-    copies = (
-        feats.select(*KEY, *sets).join(first.where("copies > 1").select(*sets, F.struct(*KEY).alias("first")), sets)
-        .where(at != F.col("first")).select(*KEY)
+    first = stored(first.where("copies > 1").select(*sets, "first"), "line-classes")
+    copies = stored(
+        feats.select(*KEY, *sets).join(measured(first), sets).where(at != F.col("first")).select(*KEY), "line-copies"
     )
 
-    heads = feats.join(first.select(*KEY, *sets), [*KEY, *sets], "left_semi")
-    postings = heads.select(*KEY, "n", F.posexplode("prefix").alias("pos", "token"))
+    # Lists hold keys alone; sizes and places are looked up for the lists that are left.
+    heads = feats.join(measured(copies), KEY, "left_anti")
+    postings = heads.select(*KEY, F.explode("prefix").alias("token"))
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("from_doc")).where("c > 1")
     shared = stored(postings.join(lists, "token").drop("c"), "line-lists")
-    pivots = (
-        shared.where("doc_id = from_doc").groupBy("token", "from_doc").agg(F.min("line").alias("from_line"))
-    )
+    place = (F.array_position("prefix", F.col("token")) - 1).cast("int")
+    rows = shared.join(feats.select(*KEY, "n", *J.BITS, "prefix"), KEY).withColumn("pos", place).drop("prefix")
+    rows = stored(rows, "line-rows")
+    pivots = rows.where("doc_id = from_doc").groupBy("token").agg(F.min(F.struct("line", "n", "pos", *J.BITS)).alias("p"))
+    pivots = pivots.select(F.col("token").alias("at"), *(F.col(f"p.{c}").alias(f"{c}_p") for c in ("line", "n", "pos", *J.BITS)))
     star = (
-        shared.drop("from_doc").join(pivots, "token").where("doc_id <> from_doc or line <> from_line")
-        .select("doc_id", "line", "from_doc", "from_line").toDF("doc_id1", "line1", "doc_id2", "line2").distinct()
+        rows.join(
+            pivots,
+            (F.col("token") == F.col("at")) & ((F.col("doc_id") != F.col("from_doc")) | (F.col("line") != F.col("line_p")))
+            & J.positional(F.col("n"), F.col("pos"), F.col("n_p"), F.col("pos_p"), percent)
+            & J.may_match(F.col("n"), F.col("n_p"), [F.col(c) for c in J.BITS], [F.col(f"{c}_p") for c in J.BITS], percent),
+        )
+        .select("doc_id", "line", "from_doc", "line_p").toDF("doc_id1", "line1", "doc_id2", "line2").distinct()
     )
-    settled = _matches(star, feats, docs, k, percent, lower).select("doc_id1", "line1").toDF(*KEY).distinct()
+    star = stored(star, "line-stars")
+    settled = _matches(star, docs, k, percent, lower).select("doc_id1", "line1").toDF(*KEY).distinct()
     settled = stored(settled, "settled")
-
-    rows = stored(shared.drop("from_doc", "n").join(heads.select(*KEY, "n", *J.BITS).distinct(), KEY), "line-rows")
+    rows = rows.drop("from_doc")
     left = rows.join(settled, KEY, "left_anti").alias("a")
     right = rows.alias("b")
     x, y = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
@@ -127,7 +127,7 @@ def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool =
         & J.may_match(x("n"), y("n"), [x(c) for c in J.BITS], [y(c) for c in J.BITS], percent),
     ).select(x("doc_id"), x("line"), y("doc_id"), y("line")).toDF("doc_id1", "line1", "doc_id2", "line2").distinct()
     rest = rest.join(star, rest.columns, "left_anti")
-    late = _matches(rest, feats, docs, k, percent, lower).select("doc_id1", "line1").toDF(*KEY)
+    late = _matches(rest, docs, k, percent, lower).select("doc_id1", "line1").toDF(*KEY)
     return copies.union(settled).union(late).distinct()
 
 

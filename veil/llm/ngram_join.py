@@ -65,22 +65,23 @@ def document_features(docs: DataFrame, k: int, percent: int, lower: bool) -> Dat
     return docs.select("doc_id", "text").mapInArrow(features, FEATURES)
 
 
-def _with_sets(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id1, id2) with size and parity bits of both."""
-    for i in (1, 2):
-        side = classes.select(F.col("cls").alias(f"id{i}"), *(F.col(c).alias(f"{c}_{i}") for c in ("n", *J.BITS)))
-        pairs = pairs.join(side, f"id{i}")
-    return pairs
-
+def _links(pairs: DataFrame, classes: DataFrame, heads: DataFrame, docs: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
+    """The pairs (id1, id2) of classes that link: bound on their prefixes, then exact comparison of the texts.
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
-    """The pairs (id1, id2) of classes that link, by filter and exact comparison."""
-    bits = [[F.col(f"{c}_{i}") for c in J.BITS] for i in (1, 2)]
-    near = stored(
-        _with_sets(pairs, classes)
-        .where(J.may_match(F.col("n_1"), F.col("n_2"), *bits, percent)).select("id1", "id2").distinct(),
-        "candidates",
-    )
+    If the prefix of x ends no later in the order than that of y, a shingle of it that y holds is
+    in the prefix of y. So the sets share at most what the prefixes share, and the rest of x.
+    """
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.explode(F.array("id1", "id2")).alias("cls")).distinct()
+    ends = classes.select("cls", "gid").join(measured(ids), "cls").join(heads, "gid")
+    ends = ends.select("cls", "n", "prefix", (F.element_at("prefix", -1).bitwiseXOR(F.lit(-(1 << 63)))).alias("last"))
+    ends = stored(ends, "prefixes")
+    for i in (1, 2):
+        pairs = pairs.join(ends.select(*(F.col(c).alias(f"id{i}" if c == "cls" else f"{c}{i}") for c in ends.columns)), f"id{i}")
+    rest = F.when(F.col("last1") <= F.col("last2"), F.col("n1") - F.size("prefix1")).otherwise(F.col("n2") - F.size("prefix2"))
+    met = F.size(F.array_intersect("prefix1", "prefix2"))
+    near = pairs.where(met + rest >= J.overlap_needed(F.col("n1"), F.col("n2"), percent)).select("id1", "id2").distinct()
+    near = stored(near, "candidates")
     wanted = near.select(F.explode(F.array("id1", "id2")).alias("id"))
     texts = J.needed_texts(docs.select(F.col("doc_id").alias("id"), "text"), wanted, "id")
     return stored(J.verify(near, texts, ["id"], k, percent, lower), "links")
@@ -108,20 +109,31 @@ def ngram_jaccard_join(
     groups = alike.groupBy(*group).agg(F.min("cls").alias("gid"), F.count(F.lit(1)).alias("members"))
     classes = stored(alike.join(groups, group), "grouped")
 
-    # Inverted lists of the groups' prefixes, without those of a single group.
+    # Inverted lists of the groups' prefixes, without those of a single group. They hold keys
+    # alone; sizes and places are looked up for the lists that are left.
     of = classes.where("cls = gid").select("gid", *group).distinct()
-    heads = feats.select(F.col("doc_id").alias("gid"), *group, "prefix").join(of, ["gid", *group], "left_semi")
-    postings = heads.select("gid", "n", F.posexplode("prefix").alias("pos", "token")).distinct()
+    heads = feats.select(F.col("doc_id").alias("gid"), *group, *J.BITS, "prefix").join(of, ["gid", *group], "left_semi")
+    heads = stored(heads.drop("pre0", "pre1"), "heads")
+    postings = heads.select("gid", F.explode("prefix").alias("token"))
     lists = (
         postings.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("gid").alias("p1"), F.max("gid").alias("p2"))
-        .where("c > 1")
+        .where("p1 < p2").drop("c")
     )
-    shared = stored(postings.join(lists, "token").drop("c"), "lists")
+    shared = postings.join(lists, "token").join(heads, "gid")
+    shared = stored(shared.withColumn("pos", F.array_position("prefix", F.col("token")) - 1).drop("prefix"), "lists")
 
-    star = shared.select("gid", F.explode(F.array("p1", "p2")).alias("pivot")).where("gid <> pivot")
+    pivots = shared.where("gid = p1 or gid = p2").select(
+        F.col("token").alias("at"), F.col("gid").alias("pivot"), *(F.col(c).alias(f"{c}_p") for c in ("n", "pos", *J.BITS))
+    )
+    star = shared.join(
+        pivots,
+        (F.col("token") == F.col("at")) & (F.col("gid") != F.col("pivot"))
+        & J.positional(F.col("n"), F.col("pos"), F.col("n_p"), F.col("pos_p"), percent)
+        & J.may_match(F.col("n"), F.col("n_p"), [F.col(c) for c in J.BITS], [F.col(f"{c}_p") for c in J.BITS], percent),
+    ).select("gid", "pivot")
     star = star.union(classes.where("cls <> gid").select("cls", "gid"))
     star = star.toDF("a", "b").select(F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2")).distinct()
-    links = _links(star, classes, docs, k, percent, lower)
+    links = _links(star, classes, heads, docs, k, percent, lower)
     labels = components(links, "id1", "id2")
 
     # Whatever these links left apart is compared in full.
@@ -159,7 +171,7 @@ def ngram_jaccard_join(
         *(F.col(bit).alias(f"{bit}_{i}") for bit in J.BITS),
     )
     expanded = _expand(group_pairs.union(inside), member, percent)
-    more = _links(expanded, classes, docs, k, percent, lower)
+    more = _links(expanded, classes, heads, docs, k, percent, lower)
     if not more.isEmpty():
         labels = components(links.union(more), "id1", "id2")
 
