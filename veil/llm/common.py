@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from veil.runtime import work_dir
 
@@ -27,9 +27,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def words(text) -> "F.Column":
+def words(text: Column) -> Column:
     """The words of a text column as an array; null and blank text: no words."""
-    bare = F.trim(text, F.lit(SPACES))
-    return F.when(F.coalesce(F.length(bare), F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(
-        F.split(bare, f"{SPACE_CLASS}+")
-    )
+    return F.array_remove(F.split(F.trim(F.coalesce(text, F.lit("")), F.lit(SPACES)), f"{SPACE_CLASS}+"), "")

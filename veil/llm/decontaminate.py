@@ -14,29 +14,34 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veil.llm.common import SPACES, stored, words
+from veil.llm.common import stored, words
 from veil.runtime import measured
 
 BLOCKS = 8
 BLOCK_BITS = 8
 #: Largest Hamming distance that is guaranteed to be found: each block may differ in 2 bits.
 RADIUS = 23
+#: Places are first tested against this many buckets of the items' shingles, so at most this many numbers are in the plan.
+BUCKETS = 1 << 16
 
 
 def normal_words(text: Column) -> Column:
-    """Lower-case words without punctuation; what is neither letter nor digit parts nothing and counts for nothing."""
-    bare = F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}\\x20\\x09-\\x0D]+", ""), F.lit(SPACES))
-    return words(bare)
+    """Hashes of the lower-case words without punctuation; what is neither letter nor digit parts nothing and counts for nothing."""
+    bare = F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}\\x20\\x09-\\x0D]+", "")
+    return F.transform(words(bare), lambda w: F.xxhash64(w))
+
+
+def _shingle(ws: Column, i: Column, k: int) -> Column:
+    """Hash of the k words from place i on."""
+    return F.xxhash64(*(F.get(ws, i + j) for j in range(k)))
 
 
 def _shingle_hashes(ws: Column, k: int) -> Column:
     """Hash of each run of k words, by position; fewer words: of the whole run."""
-    parts = lambda i: F.xxhash64(*(F.get(ws, i + j) for j in range(k)))
-    many = F.transform(F.sequence(F.lit(0), F.size(ws) - k), parts)
-    return (
-        F.when(F.size(ws) >= k, many).when(F.size(ws) > 0, F.array(F.xxhash64(ws)))
-        .otherwise(F.array().cast("array<bigint>"))
-    )
+    out = F.when(F.size(ws) >= k, F.transform(F.sequence(F.lit(0), F.size(ws) - k), lambda i: _shingle(ws, i, k)))
+    for n in range(1, k):
+        out = out.when(F.size(ws) == n, F.array(_shingle(ws, F.lit(0), n)))
+    return out.otherwise(F.array().cast("array<bigint>"))
 
 
 def _items(benchmark: DataFrame, k: int) -> DataFrame:
@@ -108,14 +113,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
 
     # Where a shingle of an item stands, and the windows this proposes.
     hits = None
+    bucket = lambda h: h.bitwiseAND(F.lit(BUCKETS - 1))
     for size in sizes:
-        hashes = (
-            _shingle_hashes(F.col("w"), k) if size == k
-            else F.transform(F.sequence(F.lit(0), F.size("w") - size), lambda i: F.xxhash64(F.slice("w", i + 1, size)))  # noqa: B023
-        )
-        found = texts.where(F.size("w") >= size).select(
-            "doc_id", F.size("w").alias("text_words"), F.posexplode(hashes).alias("at", "shingle")
-        ).join(known, "shingle", "left_semi")
+        mine = shingles.where(F.least("n_words", F.lit(k)) == size)
+        used = [r[0] for r in mine.select(bucket(F.col("shingle"))).distinct().collect()]
+        places = F.filter(F.sequence(F.lit(0), F.size("w") - size), lambda i: bucket(_shingle(F.col("w"), i, size)).isin(used))  # noqa: B023
+        found = texts.where(F.size("w") >= size).select("doc_id", "w", F.size("w").alias("text_words"), places.alias("places"))
+        found = found.where(F.size("places") > 0).select(
+            "doc_id", "text_words",
+            F.explode(F.transform("places", lambda i: F.struct(i.alias("at"), _shingle(F.col("w"), i, size).alias("shingle")))).alias("p"),  # noqa: B023
+        ).select("doc_id", "text_words", "p.*").join(known, "shingle", "left_semi")
         found = found.withColumn("least", F.lit(size))
         hits = found if hits is None else hits.union(found)
     if hits is None:
@@ -133,11 +140,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
     windows = windows.withColumn("n_shingles", span).where("n_shingles > 0")
     keys = ["doc_id", "n_words", "start"]
     by_doc = windows.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n_words", "least", "n_shingles")).alias("windows"))
-    held = texts.join(measured(by_doc), "doc_id")
+    # Only these documents' texts are taken apart again.
+    held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(measured(by_doc), "doc_id")
+    held = held.select("doc_id", "windows", normal_words(F.col("text").cast("string")).alias("w"))
     inside = held.select("doc_id", "w", F.explode("windows").alias("v")).select(
         "doc_id", F.col("v.n_words").alias("n_words"), F.col("v.start").alias("start"),
-        F.explode(_window_shingles(F.slice("w", F.col("v.start") + 1, F.col("v.n_words")), k)).alias("shingle"),
+        F.slice("w", F.col("v.start") + 1, F.col("v.n_words")).alias("v"),
     )
+    inside = inside.select("doc_id", "n_words", "start", F.explode(_shingle_hashes(F.col("v"), k)).alias("shingle"))
     times = inside.groupBy(*keys, "shingle").agg(F.count(F.lit(1)).alias("times"))
     weights = measured(shingles.select("shingle", "weight").distinct())
     contents = stored(
@@ -163,10 +173,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
     return best.select("doc_id", "item_id", (-F.col("b.start")).alias("start"), F.col("b.similarity").alias("similarity"))
 
 
-def _window_shingles(ws: Column, k: int) -> Column:
-    return _shingle_hashes(ws, k)
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, contaminated, n_items, item_id, similarity), a row for each row of ``docs``; the item is the most similar one."""
     found = decontaminate(docs, benchmark, k, similarity)

@@ -7,18 +7,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from veil.llm.common import SPACES, words
 
 # Fixed values that the measured columns are defined by.
-SYMBOLS = "#*$%&|<>"
+SYMBOL_CLASS = "[#*$%&|<>]"
 WINDOW = 3
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 # Line rules.
 SEPARATORS = "|»›·•"
+# Phrases by their first letter, tried where a word begins.
 BOILERPLATE = (
-    "(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|we use cookies|uses cookies"
-    "|enable javascript|javascript is (disabled|required)|subscribe to (our|the) newsletter|sign up for our newsletter"
-    "|click here|read more\\.\\.\\.|add to (cart|basket)|share (this )?on (facebook|twitter|whatsapp)|lorem ipsum"
-    "|licensed under|^\\s*(copyright|©|\\(c\\)) )"
+    "(?i)(?:^\\s*(?:©|\\(c\\)) |\\b(?:a(?:ll rights reserved|dd to (?:cart|basket))|c(?:ookie (?:policy|settings)|lick here|opyright (?:©|\\(c\\)|[12][0-9]))"
+    "|enable javascript|javascript is (?:disabled|required)|l(?:orem ipsum|icensed under)|privacy policy|read more\\.\\.\\."
+    "|s(?:ubscribe to (?:our|the) newsletter|ign up for our newsletter|hare (?:this )?on (?:facebook|twitter|whatsapp))"
+    "|terms of (?:use|service)|uses cookies|we use cookies))"
 )
 NAVIGATION = (
     "(?i)^\\s*((home|menu|login|log in|sign in|sign up|register|search|contact|about( us)?|next|previous|back|top|skip to content"
@@ -32,14 +33,13 @@ def punctuation_fails(line: Column) -> Column:
     """Eight words without an end of a sentence, shouted words, or one symbol in ten characters."""
     unended = ~line.rlike("[.!?…。]") & line.rlike(f"^(?:[^ ]*+ ){{7}}[^ ]")
     shouted = line.rlike("(?:![!]+(?:\\s|$)[^!]*+){3}")
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
+    symbols = F.regexp_count(line, F.lit(SYMBOL_CLASS))
     return unended | shouted | (symbols * 10 > F.length(line))
 
 
 def navigation_fails(line: Column) -> Column:
     """Two or more separators, or nothing but words of menus."""
-    bars = F.length(line) - F.length(F.translate(line, SEPARATORS, ""))
-    return (bars >= 2) | line.rlike(NAVIGATION)
+    return line.rlike(f"[{SEPARATORS}][^{SEPARATORS}]*+[{SEPARATORS}]") | line.rlike(NAVIGATION)
 
 
 def boilerplate_fails(line: Column) -> Column:
@@ -60,33 +60,33 @@ def measured_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
     long = lambda c: c.cast("bigint")
     out = docs.withColumn("_words", words(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(SPACES)) != ""))
     n = F.size("_words")
-    out = out.withColumn("n_words", long(n)).withColumn(
-        "_step", F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ceil(F.log2(F.greatest(n, F.lit(1)) + 1)).cast("int"))
-    )
-    hashed = lambda i: F.xxhash64(*(F.get("_words", i + j) for j in range(WINDOW)))
-    packed = lambda i: hashed(i) - F.pmod(hashed(i), F.col("_step")) + i
+    # All bits but those that the largest place needs.
+    bits = F.ceil(F.log2(F.greatest(n, F.lit(1)) + 1)).cast("int")
+    out = out.withColumn("n_words", long(n)).withColumn("_mask", F.call_function("shiftleft", F.lit(-1).cast("bigint"), bits))
+    out = out.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    hashed = lambda i: F.xxhash64(*(F.get("_hashes", i + j) for j in range(WINDOW)))
+    packed = lambda i: hashed(i).bitwiseAND(F.col("_mask")) + i
     windows = F.when(n > WINDOW, F.sort_array(F.transform(F.sequence(F.lit(0), n - WINDOW), packed)))
     out = out.withColumn("_windows", windows)
-    step = F.col("_step")
-    name = lambda x: x - F.pmod(x, step)
+    name = lambda x: x.bitwiseAND(F.col("_mask"))
     twice = F.filter(
         "_windows",
         lambda x, i: (name(x) == name(F.get("_windows", i - 1))) | (name(x) == name(F.get("_windows", i + 1))),
     )
     # get() knows no negative index: null there, and null counts as different.
-    out = out.withColumn("_places", F.sort_array(F.transform(twice, lambda x: F.pmod(x, step))))
+    out = out.withColumn("_places", F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.bitwise_not("_mask")))))
     gaps = F.transform(
         "_places",
         lambda x, i: F.least(F.lit(WINDOW).cast("bigint"), F.coalesce(F.get("_places", i + 1) - x, F.lit(WINDOW).cast("bigint"))),
     )
     out = out.withColumn("n_repeat_words", F.coalesce(F.aggregate(gaps, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0).cast("bigint")))
     out = (
-        out.withColumn("word_chars", long(F.length(F.translate(text, SPACES, ""))))
-        .withColumn("n_symbols", long(F.length(text) - F.length(F.translate(text, SYMBOLS, ""))))
+        out.withColumn("word_chars", long(F.length(F.array_join("_words", ""))))
+        .withColumn("n_symbols", long(F.regexp_count(text, F.lit(SYMBOL_CLASS))))
         .withColumn("n_dup_lines", long(F.size("_lines") - F.size(F.array_distinct("_lines"))))
         .withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (F.lit(100) * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
     )
-    return out.drop("_words", "_step", "_windows", "_places")
+    return out.drop("_words", "_mask", "_hashes", "_windows", "_places")
 
 
 def apply_quality_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
