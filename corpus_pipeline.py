@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veil.llm import decontaminate, langid, line_dedup, mix, ngram_join
-from veil.llm.common import SPACES, stored, table
+from veil.llm.common import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated lines out; a document of which no word stays goes."""
     left = line_dedup.dedup_lines(docs)
-    left = left.where((F.col("n_removed") == 0) | (F.trim("text", F.lit(SPACES)) != ""))
+    left = left.where("n_removed = 0 or n_removed < n_lines - n_blank")
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 

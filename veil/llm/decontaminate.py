@@ -109,7 +109,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
     sizes = [r[0] for r in shingles.select(F.least("n_words", F.lit(k))).distinct().collect()]  # at most k numbers
     known = measured(shingles.select("shingle").distinct())
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), normal_words(F.col("text").cast("string")).alias("w"))
-    texts = texts.where("doc_id is not null and size(w) > 0")
+    # A filter on what is made of the words would be pushed below them and take them apart once more
+    # for every place; so short texts have null places instead.
+    texts = texts.where("doc_id is not null")
 
     # Where a shingle of an item stands, and the windows this proposes.
     hits = None
@@ -118,8 +120,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
         mine = shingles.where(F.least("n_words", F.lit(k)) == size)
         used = [r[0] for r in mine.select(bucket(F.col("shingle"))).distinct().collect()]
         places = F.filter(F.sequence(F.lit(0), F.size("w") - size), lambda i: bucket(_shingle(F.col("w"), i, size)).isin(used))  # noqa: B023
-        found = texts.where(F.size("w") >= size).select("doc_id", "w", F.size("w").alias("text_words"), places.alias("places"))
-        found = found.where(F.size("places") > 0).select(
+        places = F.when(F.size("w") >= size, places)
+        found = texts.select("doc_id", "w", F.size("w").alias("text_words"), places.alias("places"))
+        found = found.select(
             "doc_id", "text_words",
             F.explode(F.transform("places", lambda i: F.struct(i.alias("at"), _shingle(F.col("w"), i, size).alias("shingle")))).alias("p"),  # noqa: B023
         ).select("doc_id", "text_words", "p.*").join(known, "shingle", "left_semi")

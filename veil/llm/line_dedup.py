@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veil.llm import setjoin as J
 from veil.llm import textscan as S
-from veil.llm.common import stored
+from veil.llm.common import SPACES, stored
 from veil.runtime import measured
 
 LINES = "doc_id bigint, line int, n int, sig0 bigint, sig1 bigint, bit0 bigint, bit1 bigint, prefix array<bigint>"
@@ -132,11 +132,11 @@ def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool =
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", k: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
-    """``docs`` with repeated lines taken out of the text, and how many: ``n_lines``, ``n_removed``.
+    """``docs`` with repeated lines taken out of the text: ``n_lines``, ``n_blank`` of them without a word, ``n_removed``.
 
     See ``repeated_lines`` for what goes. Kept lines stay in order, joined by line breaks; a
-    text that loses all lines becomes empty; null texts stay null. Columns named ``n_lines``
-    or ``n_removed`` are replaced. Reads ``doc_id`` and the text column.
+    text that loses all lines becomes empty; null texts stay null. Columns with these
+    names are replaced. Reads ``doc_id`` and the text column.
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     gone = stored(repeated_lines(plain, k, percent, lower), "repeated")
@@ -149,6 +149,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", k: int = 5, percent: in
     rest = F.array_join(F.transform(kept, lambda i: F.element_at("_lines", i + 1)), "\n")
     return (
         out.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size("_lines")).cast("bigint"))
+        .withColumn("n_blank", F.when(text.isNull(), 0).otherwise(F.size(F.filter("_lines", lambda x: F.trim(x, F.lit(SPACES)) == ""))).cast("bigint"))
         .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"))
         .withColumn(text_col, F.when(F.col("_gone").isNull() | text.isNull(), text).otherwise(rest))
         .drop("_gone", "_lines")
