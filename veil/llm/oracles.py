@@ -1,3 +1,91 @@
-"""The same results in SQL, where SQL can express them."""
+"""The same results in SQL, where SQL can express them.
+
+Not here: op2, op7 (windows and spans by place), op3 (its random keys are a hash SQL engines lack), op4 and op8
+(a trained model, an iteration) and the pipeline; tests compare those with brute force.
+"""
+
+from __future__ import annotations
+
+from veil.llm.chat import DEFAULT
+from veil.llm.quality_rules import LEAST_KEPT_PERCENT, LEAST_WORDS, MOST_REPEATED_PERCENT, SEPARATORS
 
 ORACLES: dict[str, str] = {}
+
+WORD = "[^\\x20\\x09-\\x0D]+"
+
+# The line rules without the possessive quantifiers that this engine lacks.
+_BOILERPLATE = (
+    "(?i)(?:^\\s*(?:©|\\(c\\)) |\\b(?:all rights reserved|add to (?:cart|basket)|cookie (?:policy|settings)|click here"
+    "|copyright (?:©|\\(c\\)|[12][0-9])|enable javascript|javascript is (?:disabled|required)|lorem ipsum|licensed under|privacy policy"
+    "|read more\\.\\.\\.|subscribe to (?:our|the) newsletter|sign up for our newsletter|share (?:this )?on (?:facebook|twitter|whatsapp)"
+    "|terms of (?:use|service)|uses cookies|we use cookies))"
+)
+_NAVIGATION = (
+    "(?i)^\\s*((home|menu|login|log in|sign in|sign up|register|search|contact|about( us)?|next|previous|back|top|skip to content"
+    "|share|print|faq|help|sitemap|rss)[\\s/,:>-]*)+$"
+)
+
+ORACLES["op1_quality_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, regexp_extract_all(text, '{WORD}') AS ws,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM d),
+g AS (SELECT doc_id, i, ws[i] || chr(0) || ws[i + 1] || chr(0) || ws[i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+t AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM t, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, len(list_aggregate(ws, 'string_agg', ''))::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+  coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
+  list_filter(ls, lambda x: NOT (
+    (NOT regexp_matches(x, '[.!?…。]') AND regexp_matches(x, '^(?:[^ ]* ){{7}}[^ ]'))
+    OR regexp_matches(x, '(?:![!]+(?:\\s|$)[^!]*){{3}}') OR len(regexp_extract_all(x, '[#*$%&|<>]')) * 10 > len(x)
+    OR regexp_matches(x, '[{SEPARATORS}][^{SEPARATORS}]*[{SEPARATORS}]') OR regexp_matches(x, '{_NAVIGATION}') OR regexp_matches(x, '{_BOILERPLATE}')
+  )) AS stay, ls FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
+b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words AS base_failed,
+  coalesce(len(list_aggregate(stay, 'string_agg', '')), 0)::BIGINT AS kept_chars, coalesce(len(list_aggregate(ls, 'string_agg', '')), 0) AS chars FROM m)
+SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100 * kept_chars >= {LEAST_KEPT_PERCENT} * chars AS kept, n_lines, (n_lines - len(stay))::BIGINT AS n_lines_removed, kept_chars
+FROM b
+"""
+
+ORACLES["op5_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES["op6_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+  WHEN len(ws) > 0 THEN [list_aggregate(ws, 'string_agg', ' ')] ELSE [] END) AS g FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * c >= 90 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+h AS (SELECT doc_id, string_agg(g, chr(0) ORDER BY g) AS h FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(r.b) FROM r WHERE r.a = d.doc_id) AS component_id,
+  coalesce(min(d.doc_id) OVER (PARTITION BY coalesce(h.h, d.doc_id::VARCHAR)), d.doc_id) AS class_id
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN h ON d.doc_id = h.doc_id
+"""
+
+_part = lambda kind: "CASE role " + " ".join(f"WHEN '{r}' THEN {len(getattr(p, kind))}" for r, p in DEFAULT.parts.items())
+_follows = " ".join(f"WHEN '{a}' THEN role IN ({', '.join(repr(r) for r in b)})" for a, b in DEFAULT.order.items())
+_marks = "|".join(["\\\\", *("".join("\\" + c if c in "[]/<>|(){}.*+?" else c for c in m) for m in DEFAULT.controls)])
+_learned = ", ".join(f"'{r}'" for r, p in DEFAULT.parts.items() if p.loss)
+
+ORACLES["op9_chat_format"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (SELECT *, coalesce(lag(role) OVER w, 'start') AS prior, lead(role) OVER w IS NULL AS last FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+m AS (SELECT *, {_part('opening')} END AS opening, {_part('closing')} END AS closing,
+  len(text) + len(regexp_extract_all(text, '{_marks}')) AS escaped,
+  (NOT coalesce(CASE prior {_follows} ELSE false END, false))::INT + (last AND role NOT IN ({', '.join(repr(r) for r in DEFAULT.ends)}))::INT AS bad FROM o)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role IN ({_learned})), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role IN ({_learned})), '')) AS loss_sha256,
+  sum(opening + escaped + closing)::BIGINT AS formatted_chars, sum(bad)::BIGINT AS n_violations
+FROM m GROUP BY conv_id
+"""
