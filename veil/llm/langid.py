@@ -13,12 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from veil.runtime import measured
 
 BUCKET_BITS = 15
 ORDERS = (1, 2, 3)
 PIECE = 1 << 19
-#: Training texts of each language at most, the first by a hash of the id.
+#: Training texts of each language, about; chosen by a hash of the id.
 TRAIN_PER_LANGUAGE = 1_500
 
 _ALPHA: np.ndarray | None = None
@@ -87,16 +89,16 @@ def ngrams(points: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, n
 
 
 def train(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> Model:
-    """A model of (doc_id, text, lang), from at most ``per_language`` whole texts of each language.
+    """A model of (doc_id, text, lang), from about ``per_language`` whole texts of each language, all if it has no more.
 
-    The texts are the first by a hash of the id, so reruns agree. n-gram counts are made in the
+    The texts are those whose hashed id lies in the language's share of the hash range, so
+    reruns agree and no text is shuffled. n-gram counts are made in the
     tasks and summed by Spark; (buckets x languages) sums reach the driver.
     """
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    sample = (
-        labelled.where("lang is not null and text is not null").withColumn("_r", F.row_number().over(first))
-        .where(F.col("_r") <= per_language).select("lang", "text")
-    )
+    labelled = labelled.where("lang is not null and text is not null")
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))  # one row for each language
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    sample = labelled.join(measured(sizes), "lang").where(place * F.col("_n") < per_language).select("lang", "text")
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
