@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from veil.llm.common import words
 
 #: Rows of one piece of a source's key range, on average.
-ROWS_PER_PIECE = 50_000
+ROWS_PER_PIECE = 5_000
 
 
 def word_count(text: Column) -> Column:
