@@ -387,7 +387,7 @@ def families(cells: DataFrame) -> DataFrame:
 # Text patterns of the types a cell value can be taken for.
 TYPE_PATTERNS = {
     "boolean": r"^(true|false)$",
-    "bigint": r"^[+-]?[0-9]{1,18}$",
+    "bigint": r"^[+-]?[0-9]+$",
     "double": r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$",
 }
 
@@ -401,6 +401,8 @@ def discover_schema(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     stored = cells.schema[VALUE].dataType
     if isinstance(stored, T.StringType):
         fits = {name: F.bool_and(F.col(VALUE).rlike(p)) for name, p in TYPE_PATTERNS.items()}
+        # Whole numbers beyond the type's range are not taken for it.
+        fits["bigint"] &= F.bool_and(F.col(VALUE).try_cast("bigint").isNotNull())
         kind = F.lit("string")
         for name in reversed(list(fits)):
             kind = F.when(fits[name], name).otherwise(kind)

@@ -4,27 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from veil.functions.values import to_text
 
 CHANGED, ONLY_LEFT, ONLY_RIGHT, DUPLICATE = "changed", "only_left", "only_right", "duplicate"
 
 
+def shown(c: Column, kind: T.DataType) -> Column:
+    """Text form for the report; timestamps keep their microseconds."""
+    return c.cast("string") if isinstance(kind, T.TimestampType) else to_text(c, kind)
+
+
+def text(both: DataFrame, side: str, column: str) -> Column:
+    return shown(F.col(side)[column], both.schema[side].dataType[column].dataType)
+
+
 def diff(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Differing columns per key: (keys, column, left, right, kind), values as text.
 
-    Keys on one side only list all their columns. A key that occurs more than
+    Values are compared with their types. A column that one side lacks counts
+    as null there. Keys on one side only list all their columns. A key that occurs more than
     once on a side has no single row to compare: it gives one ``duplicate``
     row with the two row counts. Both copies meet in one aggregation by key,
     not in a join: one shuffle, and repeated keys are merged before it instead
     of being paired.
     """
     keys = list(keys)
-    columns = [c for c in left.columns if c not in keys] if columns is None else list(columns)
+    every = list(dict.fromkeys([*left.columns, *right.columns]))
+    columns = [c for c in every if c not in keys] if columns is None else list(columns)
+    kinds = {c: [df.schema[c].dataType for df in (left, right) if c in df.columns] for c in columns}
+
+    def value(df: DataFrame, c: str) -> Column:
+        """A value as it is compared: typed, so that nothing is rounded; as text if the sides' types differ or have no order."""
+        kind = kinds[c][0]
+        alike = all(k == kind for k in kinds[c]) and not isinstance(kind, (T.MapType, T.VariantType))
+        if c not in df.columns:
+            return F.lit(None).cast(kind if alike else "string")
+        return F.col(f"`{c}`") if alike else shown(F.col(f"`{c}`"), df.schema[c].dataType)
 
     def side(df: DataFrame, is_left: bool) -> DataFrame:
-        image = F.struct(*[to_text(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in columns])
+        image = F.struct(*[value(df, c).alias(c) for c in columns])
         return df.select(*[F.col(f"`{k}`") for k in keys], F.lit(is_left).alias("_left"), image.alias("_row"))
 
     on_left = F.col("_left")
@@ -38,17 +58,19 @@ def diff(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequen
     )
     n_left, n_right = F.col("n_left"), F.col("n_right")
 
-    def entry(column: str | None, l: Column, r: Column, kind) -> Column:
+    def entry(column: str | None, l: Column, r: Column, kind, same: Column) -> Column:
         return F.struct(
-            F.lit(column).cast("string").alias("column"), l.alias("left"), r.alias("right"),
+            F.lit(column).cast("string").alias("column"), l.alias("left"), r.alias("right"), same.alias("same"),
             (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
         )
 
     kind = F.when(n_right == 0, ONLY_LEFT).when(n_left == 0, ONLY_RIGHT).otherwise(CHANGED)
-    cells = F.array(*[entry(c, F.col("l")[c], F.col("r")[c], kind) for c in columns])
-    differing = F.filter(cells, lambda e: (e["kind"] != CHANGED) | ~e["left"].eqNullSafe(e["right"]))
-    counts = F.array(entry(None, n_left.cast("string"), n_right.cast("string"), DUPLICATE))
+    cells = F.array(*[
+        entry(c, text(both, "l", c), text(both, "r", c), kind, F.col("l")[c].eqNullSafe(F.col("r")[c])) for c in columns
+    ])
+    differing = F.filter(cells, lambda e: (e["kind"] != CHANGED) | ~e["same"])
+    counts = F.array(entry(None, n_left.cast("string"), n_right.cast("string"), DUPLICATE, F.lit(False)))
     repeated = (n_left > 1) | (n_right > 1)
     return both.filter(repeated | ~F.col("l").eqNullSafe(F.col("r"))).select(
         *keys, F.inline(F.when(repeated, counts).otherwise(differing))
-    )
+    ).drop("same")

@@ -7,27 +7,39 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from veil.operators.intervals import interval_union, position
-from veil.operators.predicates import MAX_LITERALS
 from veil.runtime import measured
 from veil.spec import any_of
 
 RANGE_BLOCK = 4096
+#: Longer literal lists become a table; the rows found are the same.
+LITERALS_IN_PLAN = 1000
 
 
-def lookup(df: DataFrame, keys: DataFrame | Iterable, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key is in a list of keys, each row once.
+def lookup(df: DataFrame, keys: DataFrame | Iterable, on: str | Sequence[str], negate: bool = False) -> DataFrame:
+    """Rows whose key is in a list of keys (or, with ``negate``, is not), each row once.
 
     A short literal list becomes an ``IN`` predicate that reaches the scan. A
     table of keys becomes a semi join: broadcast when its measured size
-    allows, shuffled otherwise.
+    allows, shuffled otherwise. As in SQL, a row with a null key is in neither
+    answer, and nothing is outside a list that holds a null.
     """
     names = [on] if isinstance(on, str) else list(on)
-    if isinstance(keys, DataFrame):
-        return df.join(measured(keys.select(*names).distinct()), names, "left_semi")
-    values = list(dict.fromkeys(keys))
-    if len(names) != 1 or len(values) > MAX_LITERALS:
-        raise ValueError("long or composite key lists must be given as a DataFrame")
-    return df.filter(F.col(names[0]).isin(values))
+    if not isinstance(keys, DataFrame):
+        values = list(dict.fromkeys(keys))
+        if len(names) == 1 and len(values) <= LITERALS_IN_PLAN:
+            found = F.col(names[0]).isin(values)
+            return df.filter(~found if negate else found)
+        schema = T.StructType([T.StructField(n, df.schema[n].dataType) for n in names])
+        keys = df.sparkSession.createDataFrame([v if len(names) > 1 else (v,) for v in values], schema)
+    asked = keys.select(*names).distinct()
+    if not negate:
+        return df.join(measured(asked), names, "left_semi")
+    missing = F.lit(False)
+    for n in names:
+        missing = missing | F.col(n).isNull()
+    if not asked.filter(missing).isEmpty():
+        return df.filter(F.lit(False))
+    return df.filter(~missing).join(measured(asked), names, "left_anti") if not asked.isEmpty() else df
 
 
 def _inside(key: Column, lo, hi) -> Column:
@@ -50,11 +62,12 @@ def range_lookup(df: DataFrame, ranges: DataFrame | Iterable[tuple], key: str) -
     """
     if not isinstance(ranges, DataFrame):
         pairs = list(ranges)
-        if len(pairs) > MAX_LITERALS:
-            raise ValueError(f"more than {MAX_LITERALS} literal ranges: give a table")
         if not pairs:
             return df.filter(F.lit(False))
-        return df.filter(any_of([_inside(F.col(key), lo, hi) for lo, hi in pairs]))
+        if len(pairs) <= LITERALS_IN_PLAN:
+            return df.filter(any_of([_inside(F.col(key), lo, hi) for lo, hi in pairs]))
+        ends = T.StructType([T.StructField(c, df.schema[key].dataType) for c in ("lo", "hi")])
+        ranges = df.sparkSession.createDataFrame(pairs, ends)
 
     kind = df.schema[key].dataType
     merged = interval_union(ranges.select(F.col("lo").cast(kind), F.col("hi").cast(kind)))

@@ -12,19 +12,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_LITERALS = 1000
-
 
 def _column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def in_list(c, values: Iterable) -> Column:
-    """``c IN (...)`` for short literal lists; long lists belong in :func:`veil.operators.lookup.lookup`."""
-    values = list(values)
-    if len(values) > MAX_LITERALS:
-        raise ValueError(f"more than {MAX_LITERALS} literals: use lookup() with a table of keys")
-    return _column(c).isin(values)
+    """``c IN (...)``: a hash set in the plan, of any length; a table of values belongs in ``lookup``."""
+    return _column(c).isin(list(values))
 
 
 def not_in_list(c, values: Iterable) -> Column:
@@ -33,9 +28,7 @@ def not_in_list(c, values: Iterable) -> Column:
 
 def in_but_not_in(c, values: Iterable, excluded: Iterable) -> Column:
     """In the first list and not in the second."""
-    excluded = list(excluded)
-    wanted = [v for v in values if v not in excluded]
-    return in_list(c, wanted) if wanted else F.lit(False)
+    return in_list(c, values) & not_in_list(c, excluded)
 
 
 def contains(c, text: str, ci: bool = False) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-_local_bases: dict[str, str] = {}
-
 
 def build_session(app_name: str = "veil", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are tuned for.
@@ -40,18 +37,15 @@ def build_session(app_name: str = "veil", master: str | None = None, **conf) ->
 def work_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster
-    such a folder would be invisible to the other machines.
+    Only a local session may do without it: it uses a folder below the
+    warehouse, on the session's own file system.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_bases:
-        _local_bases[app] = tempfile.mkdtemp(prefix="veil-")
-    return _local_bases[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/veil-work"
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
