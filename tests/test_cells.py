@@ -71,9 +71,9 @@ def test_newest_n_equals_brute_force(spark, n):
     )
     got = rows(C.last_versions(cells.repartition(6), ["k"], n))
     groups = {}
-    for r in cells.collect():
-        groups.setdefault(r["k"], []).append(tuple(r))
-    want = [x for g in groups.values() for x in sorted(g, key=lambda r: (r[3], r[4]), reverse=True)[:n]]
+    for r in sorted(map(tuple, cells.collect()), key=lambda r: (r[3], r[4])):
+        groups.setdefault(r[0], {})[r[3]] = r  # the greatest value of a timestamp is its version
+    want = [x for g in groups.values() for x in sorted(g.values(), key=lambda r: r[3], reverse=True)[:n]]
     assert got == sorted(want, key=repr)
 
 
@@ -82,7 +82,7 @@ def test_ties_do_not_depend_on_row_order(spark):
     for order in (data, data[::-1]):
         cells = make(spark, order)
         assert rows(C.to_rows(cells, SPEC, ["a"])) == [(9,)]
-        assert rows(C.last_versions(cells, ["k"], 2)) == [("x", "f", "a", 1, "5"), ("x", "f", "a", 1, "9")]
+        assert rows(C.last_versions(cells, ["k"], 2)) == [("x", "f", "a", 1, "9")]  # one timestamp, one version
         assert rows(C.compact(cells, ["k"])) == [("x", "f", "a", 1, "9")]
 
 
@@ -314,3 +314,19 @@ def test_discover_schema(spark):
     ]
     assert rows(C.families(cells)) == [("f",), ("h",)]
     assert C.count_rows(cells, SPEC).collect()[0]["rows"] == 2
+
+
+def test_repeated_timestamps_are_one_version(spark):
+    cells = spark.createDataFrame(
+        [("k", "f", "q", t, v) for t, v in ((3, "a"), (3, "b"), (2, "c"), (1, "d"), (0, "e"))],
+        "k string, cf string, qualifier string, ts bigint, value string",
+    )
+    want = [(3, "b"), (2, "c"), (1, "d")]
+    got = C.last_versions(cells, ["k"], 3)
+    assert sorted((r["ts"], r["value"]) for r in got.collect()) == sorted(want)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        got = C.last_versions(cells, ["k"], 3)
+        assert sorted((r["ts"], r["value"]) for r in got.collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")

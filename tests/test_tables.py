@@ -217,8 +217,8 @@ def test_interrupted_publish_is_repeated_from_the_staged_copy(spark, clients, ta
 def test_ledger_holds_no_keys(spark, table, tmp_path):
     ledger = str(tmp_path / "ledger")
     E.apply_batch(spark, spark.createDataFrame([("secret-key-55",)], "value string"), 0, table, "bp", N, ledger)
-    text = "".join(p.read_text() for p in Path(ledger).glob("*.json"))
-    assert "secret-key-55" not in text and MASKS["iban"] not in text
+    text = "".join(p.read_text() for p in Path(ledger).rglob("*.json"))
+    assert text and "secret-key-55" not in text and MASKS["iban"] not in text
 
 
 CELL_SPEC = {"key": [("bp", "string")], "columns": {
@@ -256,6 +256,116 @@ def test_job_arguments(spark, clients, table, tmp_path):
     job.main([*base, "--table", table, "--buckets", str(N), "--mask", "iban=gone", "--mask", "street=a=b"])
     assert rows(plain(spark, table).filter("bp = '8'")) == [("8", "gone", "a=b", 8)]
     assert job.arguments([*base, "--cells", "/x"]).masks == MASKS
-    for wrong in (["--table", table], ["--table", table, "--cells", "/x", "--buckets", "8"], []):
+    for wrong in (["--cells", table, "--buckets", "8"], ["--table", table, "--cells", "/x", "--buckets", "8"], []):
         with pytest.raises(SystemExit):
             job.arguments([*base, *wrong])
+
+
+# --- what must not be left behind -------------------------------------------
+
+def stored_values(spark, *folders):
+    """Every value in any Parquet file below the folders."""
+    found = set()
+    for folder in folders:
+        for f in Path(folder).rglob("*.parquet"):
+            for row in spark.read.parquet(str(f)).collect():
+                found.update(row)
+    return found
+
+
+def test_other_bucket_counts_and_keys_are_refused(spark, clients, table, tmp_path):
+    for wrong in (("bp", N * 2), ("iban", N)):
+        with pytest.raises(ValueError):
+            S.apply_to_table(spark, table, asked(spark, "3"), *wrong)
+    assert S.apply_to_table(spark, table, asked(spark, "3"), "bp")
+    # a table whose note is wrong fails at its rows, before anything is published
+    S._write_layout(spark, table, "bp", N * 2, S.read_layout(spark, table)["schema"])
+    before = files(table)
+    with pytest.raises(Exception, match="not in the bucket of its key"):
+        S.apply_to_table(spark, table, asked(spark, *map(str, range(50))), "bp")
+    assert files(table) == before
+    bare = str(tmp_path / "bare")
+    clients.withColumn(S.BUCKET, S.bucket_of(F.col("bp"), N)).write.partitionBy(S.BUCKET).parquet(bare)
+    with pytest.raises(ValueError, match="no noted bucket layout"):
+        S.apply_to_table(spark, bare, asked(spark, "3"), "bp")
+    with pytest.raises(ValueError, match="not laid out"):
+        S.adopt_bucketed(spark, bare, "bp", N * 2)
+    S.adopt_bucketed(spark, bare, "bp", N)
+    assert S.apply_to_table(spark, bare, asked(spark, "3"), "bp")
+
+
+def test_no_copy_of_a_requested_value_is_left(spark, clients, table, tmp_path, monkeypatch):
+    monkeypatch.setattr("veil.runtime.work_base", lambda session: str(tmp_path / "work"))
+    monkeypatch.setattr(E, "work_base", lambda session: str(tmp_path / "work"))
+    ledger = str(tmp_path / "ledger")
+    for batch, keys in enumerate((("5",), ("7", "8"), ("9",))):
+        lines = spark.createDataFrame([(k,) for k in keys], "value string")
+        E.apply_batch(spark, lines, batch, table, "bp", None, ledger)
+    S.apply_to_table(spark, table, asked(spark, "11"), "bp")
+    left = stored_values(spark, table, tmp_path / "work", ledger)
+    assert not left & {f"{c}{k}" for c in "is" for k in (5, 7, 8, 9, 11)} and "i6" in left
+    assert not list((tmp_path / "work").glob("*"))
+
+
+@pytest.mark.parametrize("delete", [False, True])
+def test_an_emptied_table_stays_readable_and_takes_batches(spark, clients, table, tmp_path, delete):
+    S.apply_to_table(spark, table, asked(spark, *map(str, range(200))), "bp", delete=True)
+    assert S.read_table(spark, table).count() == 0 and S.read_table(spark, table).columns == [*clients.columns, S.BUCKET]
+    lines = spark.createDataFrame([("5",)], "value string")
+    for _ in range(2):
+        E.apply_batch(spark, lines, 0, table, "bp", None, str(tmp_path / "ledger"), delete=delete)
+    assert S.read_table(spark, table).count() == 0
+
+
+def test_deleting_cell_stream_rewrites_the_files_that_hold_the_key(spark, clients, tmp_path):
+    path = str(tmp_path / "cells")
+    cells = C.to_cells(clients.drop("age"), CELL_SPEC, ts=1)
+    S.create_cells(cells, path, 4, ["bp"])
+    before = files(path)
+    (tmp_path / "in").mkdir()
+    drop_file(tmp_path / "in", "a.csv", "5,x\nunknown\n")
+    E.run_cell_stream(spark, str(tmp_path / "in"), path, str(tmp_path / "checkpoint"), "bp", delete=True, once=True
+                      ).awaitTermination()
+    after = files(path)
+    assert len(set(before) & set(after)) == 3
+    assert rows(S.read_cells(spark, path)) == rows(cells.filter("bp <> '5'"))
+    assert not stored_values(spark, path) & {"i5", "s5", "5"}
+    assert S.purge_cells(spark, path, asked(spark, "6"), "bp", [("demographics", "iban")]) == 1
+    assert rows(S.read_cells(spark, path)) == rows(cells.filter("bp <> '5' and not (bp = '6' and qualifier = 'iban')"))
+    assert S.purge_cells(spark, path, asked(spark, "unknown"), "bp") == 0
+
+
+@pytest.mark.parametrize("delete", [False, True])
+def test_cell_batch_is_applied_once(spark, clients, tmp_path, monkeypatch, delete):
+    path, ledger = str(tmp_path / "cells"), str(tmp_path / "ledger")
+    cells = C.to_cells(clients.drop("age"), CELL_SPEC, ts=1)
+    S.append_cells(cells, path)
+    lines = spark.createDataFrame([("5",)], "value string")
+
+    def broken(real):
+        def publish(*args):
+            real(*args)
+            raise RuntimeError("lost")
+        return publish
+
+    name = "publish_purge" if delete else "append_cells"
+    with monkeypatch.context() as m:
+        m.setattr(E, name, broken(getattr(E, name)))
+        with pytest.raises(RuntimeError, match="lost"):
+            E.apply_cell_batch(spark, lines, 0, path, "bp", ledger, delete=delete)
+    for _ in range(2):
+        E.apply_cell_batch(spark, lines, 0, path, "bp", ledger, delete=delete)
+    mine = S.read_cells(spark, path).filter("bp = '5'")
+    assert mine.count() == (0 if delete else 4)
+    assert S.read_cells(spark, path).filter("bp <> '5'").count() == 398
+
+
+def test_a_mask_is_newer_than_any_version(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    far = 10**15
+    S.append_cells(spark.createDataFrame(
+        [("1", "demographics", "street", far, "ZETA STRASSE 1")],
+        "bp string, cf string, qualifier string, ts bigint, value string"), path)
+    lines = spark.createDataFrame([("1",)], "value string")
+    E.apply_cell_batch(spark, lines, 0, path, "bp", str(tmp_path / "ledger"), ts=far)
+    assert rows(C.to_rows(S.read_cells(spark, path), CELL_SPEC)) == [("1", MASKS["iban"], MASKS["street"])]

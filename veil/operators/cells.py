@@ -84,7 +84,9 @@ def _one_value(value: Column, tie: Sequence[str]) -> Column:
 def last_versions(
     cells: DataFrame, keys: Sequence[str], n: int | None = 1, tie: Sequence[str] = (VALUE,)
 ) -> DataFrame:
-    """The newest ``n`` versions of every cell (``None``: all of them).
+    """The newest ``n`` versions of every cell (``None``: all rows as they are).
+
+    A version is a timestamp; of rows that repeat one, the greatest in ``tie`` counts.
 
     ``n = 1`` is an aggregate with map-side combine. For small ``n`` Spark
     prunes every input partition to ``n`` rows per cell before the shuffle
@@ -101,20 +103,21 @@ def last_versions(
     if n == 1:
         newest = cells.groupBy(*cell).agg(F.max_by(F.struct(*rest), _age(tie)).alias("_c"))
         return newest.select(*cell, "_c.*").select(*cells.columns)
-    newest_first = [F.desc(TS), *[F.desc(c) for c in tie]]
     pruned = cells
     if n > int(cells.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        slices = Window.partitionBy(*cell, "_slice").orderBy(*newest_first)
+        slices = Window.partitionBy(*cell, "_slice").orderBy(F.desc(TS))
         pruned = (
             cells.withColumn("_slice", F.spark_partition_id() % SLICES)
-            .withColumn("_rank", F.row_number().over(slices))
+            .withColumn("_rank", F.dense_rank().over(slices))
             .filter(F.col("_rank") <= n)
             .drop("_slice", "_rank")
         )
-    versions = Window.partitionBy(*cell).orderBy(*newest_first)
-    return (
-        pruned.withColumn("_rank", F.row_number().over(versions)).filter(F.col("_rank") <= n).drop("_rank")
-    )
+    versions = Window.partitionBy(*cell).orderBy(F.desc(TS))
+    kept = pruned.withColumn("_rank", F.dense_rank().over(versions)).filter(F.col("_rank") <= n).drop("_rank")
+    # Rows that repeat a timestamp are one version: only its first row in tie order stays.
+    repeats = Window.partitionBy(*cell).orderBy(F.desc(TS), *[F.desc(c) for c in tie if c != TS])
+    newer = F.lag(F.struct(TS)).over(repeats)
+    return kept.withColumn("_newer", newer).filter(~F.col("_newer").eqNullSafe(F.struct(TS))).drop("_newer")
 
 
 def compact(cells: DataFrame, keys: Sequence[str], tie: Sequence[str] = (VALUE,), n: int | None = None) -> DataFrame:

@@ -184,6 +184,21 @@ def mask_entries(
     return request_keys(requests, key).select(F.col(_KEY).cast(key_type).alias(key), F.inline(F.array(*cells)))
 
 
+def newer_than(masks: DataFrame, cells: DataFrame, requests: DataFrame, key: str) -> DataFrame:
+    """``masks`` with timestamps above the newest version of their own cell, so that a mask always wins.
+
+    Of ``cells`` only keys, names and timestamps are read, and only masked cells of
+    requested keys are aggregated.
+    """
+    cell = [key, CF, QUALIFIER]
+    names = masks.select(CF, QUALIFIER).distinct()
+    held = _Requested(requests, key).join(cells.select(*cell, TS), "left_semi").join(F.broadcast(names), [CF, QUALIFIER])
+    newest = held.groupBy(*cell).agg(F.max(TS).alias("_newest"))
+    return masks.join(newest, cell, "left").select(
+        key, CF, QUALIFIER, F.greatest(F.col(TS), F.col("_newest") + 1).cast("bigint").alias(TS), VALUE
+    )
+
+
 def mask_cells(
     cells: DataFrame,
     requests: DataFrame,
@@ -196,6 +211,8 @@ def mask_cells(
 ) -> DataFrame:
     """Put a newer mask cell over every masked qualifier of the requested keys.
 
+    It gets ``ts``, or a timestamp just above a version that is not older.
+
     Without ``purge_history`` older versions stay in the table and can still be
     read by version or time; with it they are dropped. A requested key gets its
     mask cells even if it had no cell before, as an upsert would do.
@@ -207,6 +224,7 @@ def mask_cells(
     if purge_history:
         pairs = [(cf, q) for cf, q, _ in _mask_list(MASKS if masks is None else masks, family)]
         cells = purge(cells, requests, key, pairs)
+    new = newer_than(new, cells, requests, key)
     return cells.unionByName(new, allowMissingColumns=True)
 
 

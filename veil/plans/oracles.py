@@ -28,7 +28,8 @@ LINE_CELLS = """cells AS (
   SELECT l_orderkey AS rowkey, l_returnflag AS cf, l_linestatus AS qualifier, epoch_us(l_shipdate) // 1000 AS ts,
          l_extendedprice AS value FROM lineitem)"""
 RANKED = """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY rowkey, cf, qualifier ORDER BY ts DESC, value DESC) AS rn FROM cells)"""
+  SELECT *, row_number() OVER (PARTITION BY rowkey, cf, qualifier ORDER BY ts DESC) AS rn
+  FROM (SELECT rowkey, cf, qualifier, ts, max(value) AS value FROM cells GROUP BY rowkey, cf, qualifier, ts))"""
 
 CLIENT_COLUMNS = ["custid", "level", "pdl", "age", "gender", "iban", "street"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

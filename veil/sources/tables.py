@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from veil.operators.erase import MASKS, erase, mask, request_keys
+from veil.operators.erase import MASKS, erase, mask, purge, request_keys
 from veil.runtime import work_dir
-from veil.spec import CF, QUALIFIER, TS
+from veil.spec import CF, QUALIFIER, TS, any_of
 
 BUCKET = "bucket"
 MIN_RANGES = 4
+LAYOUT_FILE = "_layout.json"
+LAYOUT_PROPERTY = "veil.layout"
 
 
 # --- partitioned tables -----------------------------------------------------
@@ -22,10 +25,81 @@ def _is_path(table: str) -> bool:
     return "/" in table
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the maker of its paths."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, jvm.org.apache.hadoop.fs.Path
+
+
+def remove_folder(spark: SparkSession, path: str | None) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    if path is not None:
+        fs, make = _file_system(spark, path)
+        fs.delete(make(path), True)
+
+
+def _write_layout(spark: SparkSession, table: str, key: str, buckets: int, schema: T.StructType) -> None:
+    """Note key, bucket count and schema with the table: a hidden file, or a table property."""
+    if not _is_path(table):
+        text = json.dumps({"key": key, "buckets": buckets}).replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LAYOUT_PROPERTY}' = '{text}')")
+        return
+    fs, make = _file_system(spark, table)
+    out = fs.create(make(make(table), LAYOUT_FILE), True)
+    try:
+        out.write(json.dumps({"key": key, "buckets": buckets, "schema": schema.jsonValue()}).encode())
+    finally:
+        out.close()
+
+
+def read_layout(spark: SparkSession, table: str) -> dict | None:
+    """What :func:`write_bucketed` or :func:`adopt_bucketed` noted of a table, if anything."""
+    if not _is_path(table):
+        noted = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == LAYOUT_PROPERTY).first()
+        return None if noted is None else json.loads(noted["value"])
+    fs, make = _file_system(spark, table)
+    path = make(make(table), LAYOUT_FILE)
+    if not fs.exists(path):
+        return None
+    source = fs.open(path)
+    try:
+        layout = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    finally:
+        source.close()
+    layout["schema"] = T.StructType.fromJson(layout["schema"])
+    return layout
+
+
+def _bucket_count(spark: SparkSession, table: str, key: str, expected: int | None) -> int:
+    """The bucket count noted with the table; whoever expects another key or count is refused."""
+    layout = read_layout(spark, table)
+    if layout is None:
+        raise ValueError(f"{table} has no noted bucket layout; see adopt_bucketed()")
+    if layout["key"] != key:
+        raise ValueError(f"{table} is bucketed by {layout['key']!r}, not by {key!r}")
+    if expected is not None and expected != layout["buckets"]:
+        raise ValueError(f"{table} has {layout['buckets']} buckets, not {expected}")
+    return layout["buckets"]
+
+
+def adopt_bucketed(spark: SparkSession, table: str, key: str, buckets: int) -> None:
+    """Note the layout of a bucketed table that has none yet, after a look at the bucket of every row."""
+    df = read_table(spark, table)
+    wrong = df.filter(~F.col(BUCKET).eqNullSafe(bucket_of(F.col(key), buckets)))
+    if not wrong.isEmpty():
+        raise ValueError(f"{table} is not laid out in {buckets} buckets of {key!r}")
+    _write_layout(spark, table, key, buckets, df.schema)
+
+
 def read_table(spark: SparkSession, table: str, **partition_values) -> DataFrame:
-    """A partitioned table, optionally only some partitions (pruned before any file is opened)."""
+    """A partitioned table, optionally only some partitions (pruned before any file is opened).
+
+    A table whose layout is noted can be read when all its partitions are gone, too.
+    """
     if _is_path(table):
-        df = spark.read.parquet(table)
+        layout = read_layout(spark, table)
+        df = spark.read.parquet(table) if layout is None else spark.read.schema(layout["schema"]).parquet(table)
     else:
         # another session (a stream has its own) may have replaced files since the last listing
         spark.catalog.refreshTable(table)
@@ -47,10 +121,29 @@ def _spread(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """Write a table partitioned by the hash bucket of its key."""
+    """Write a table partitioned by the hash bucket of its key, and note key and bucket count with it.
+
+    Appending to a table that has another layout is refused.
+    """
+    spark = df.sparkSession
+    if mode == "append" and _exists(spark, table):
+        _bucket_count(spark, table, key, buckets)
     placed = df.withColumn(BUCKET, bucket_of(F.col(key), buckets))
     writer = _spread(placed, [BUCKET]).write.mode(mode).partitionBy(BUCKET).format("parquet")
+    if mode == "ignore" and _exists(spark, table):
+        return
     writer.save(table) if _is_path(table) else writer.saveAsTable(table)
+    # Files hold nullable columns only, whatever the frame says.
+    fields = [*[f for f in placed.schema.fields if f.name != BUCKET], placed.schema[BUCKET]]
+    schema = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields])
+    _write_layout(spark, table, key, buckets, schema)
+
+
+def _exists(spark: SparkSession, table: str) -> bool:
+    if not _is_path(table):
+        return spark.catalog.tableExists(table)
+    fs, make = _file_system(spark, table)
+    return fs.exists(make(table))
 
 
 @contextmanager
@@ -96,20 +189,32 @@ def touched_buckets(requests: DataFrame, key: str, buckets: int) -> list[int]:
 
 
 def stage_erasure(
-    spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int,
-    masks: Mapping | None = None, delete: bool = False,
+    spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int | None = None,
+    masks: Mapping | None = None, delete: bool = False, staging: str | None = None,
 ) -> tuple[str | None, list[int]]:
     """Write the new contents of all touched partitions to a staging folder.
 
-    The table itself is not changed. Only touched partitions are read.
+    The table itself is not changed. Only touched partitions are read, and every
+    row of them is tested to lie in the bucket of its key: a table laid out
+    otherwise fails here rather than keep requested rows unseen. ``buckets`` is
+    only compared with the count noted with the table. A staging folder given by
+    the caller is overwritten.
     """
+    buckets = _bucket_count(spark, table, key, buckets)
     touched = touched_buckets(requests, key, buckets)
     if not touched:
         return None, []
     current = read_table(spark, table, **{BUCKET: touched})
     changed = erase(current, requests, key) if delete else mask(current, requests, key, masks or MASKS)
-    staging = work_dir(spark, "staging")
-    _spread(changed, [BUCKET]).write.partitionBy(BUCKET).parquet(staging)
+    misplaced = F.raise_error(F.lit(f"a row of {table} is not in the bucket of its key")).cast("int")
+    right = F.col(BUCKET) == bucket_of(F.col(key), buckets)
+    changed = changed.withColumn(BUCKET, F.when(right, F.col(BUCKET)).otherwise(misplaced))
+    staging = staging or work_dir(spark, "staging")
+    try:
+        _spread(changed, [BUCKET]).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    except Exception:
+        remove_folder(spark, staging)
+        raise
     return staging, touched
 
 
@@ -119,19 +224,18 @@ def publish_erasure(
     """Move a staged result into the table.
 
     The staging folder stays complete until the end, so an interrupted publish
-    is repeated from it and never from a half-written table. A partition that
-    lost all its rows has nothing to replace it and is dropped.
+    is repeated from it and never from a half-written table; the caller removes
+    it afterwards. A partition that lost all its rows has nothing to replace it
+    and is dropped. If the touched partitions hold no rows at all, nothing happens.
     """
     if staging is None:
         return
-    if not delete:
-        rewrite_partitions(spark.read.parquet(staging), table, [BUCKET])
-        return
     staged = spark.read.schema(read_table(spark, table).schema).parquet(staging)
     kept = {r[BUCKET] for r in staged.select(BUCKET).distinct().collect()}
     if kept:
         rewrite_partitions(staged, table, [BUCKET])
-    drop_buckets(spark, table, [b for b in touched if b not in kept])
+    if delete:
+        drop_buckets(spark, table, [b for b in touched if b not in kept])
 
 
 def drop_buckets(spark: SparkSession, table: str, buckets: Sequence[int]) -> None:
@@ -142,20 +246,27 @@ def drop_buckets(spark: SparkSession, table: str, buckets: Sequence[int]) -> Non
         parts = ", ".join(f"PARTITION ({BUCKET} = {int(b)})" for b in buckets)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
         return
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for b in buckets:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{BUCKET}={int(b)}"), True)
+        remove_folder(spark, f"{table.rstrip('/')}/{BUCKET}={int(b)}")
 
 
 def apply_to_table(
-    spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int,
+    spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int | None = None,
     masks: Mapping | None = None, delete: bool = False,
 ) -> list[int]:
-    """Erase the requested keys in a bucketed table; returns the rewritten bucket numbers."""
+    """Erase the requested keys in a bucketed table; returns the rewritten bucket numbers.
+
+    The staging copy is removed at the end. If publishing fails it is the only
+    whole copy of the touched partitions; the error then names it, and
+    :func:`publish_erasure` can be repeated from it.
+    """
     staging, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete)
-    publish_erasure(spark, table, staging, touched, delete)
+    try:
+        publish_erasure(spark, table, staging, touched, delete)
+    except Exception as error:
+        error.add_note(f"the staged partitions are kept in {staging}")
+        raise
+    remove_folder(spark, staging)
     return touched
 
 
@@ -187,6 +298,68 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _pairs(columns: Sequence[tuple[str, str]]) -> Column:
+    return any_of([(F.col(CF) == cf) & (F.col(QUALIFIER) == q) for cf, q in columns])
+
+
+def stage_purge(
+    spark: SparkSession, path: str, requests: DataFrame, key: str, columns: Sequence[tuple[str, str]] | None,
+    staging: str,
+) -> list[str]:
+    """Write what is left of the files that hold requested cells; returns these files' names.
+
+    ``columns`` are the (family, qualifier) pairs to purge, ``None`` all cells of
+    the requested keys. Names of files reach the driver, never keys or values.
+    """
+    cells = read_cells(spark, path)
+    named = cells.withColumn("_file", F.col("_metadata.file_path"))
+    wanted = request_keys(requests, key)
+    found = named.select(key, CF, QUALIFIER, "_file")
+    if columns is not None:
+        found = found.filter(_pairs(columns))
+    hit = found.join(wanted, F.col(key).cast("string") == F.col("_request"), "left_semi")
+    files = sorted(r["_file"] for r in hit.select("_file").distinct().collect())
+    if files:
+        held = spark.read.schema(cells.schema).parquet(*files)
+        left = purge(held, requests, key, columns) if columns is not None else erase(held, requests, key)
+        order = [key, CF, QUALIFIER, TS]
+        left.repartitionByRange(len(files), *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(staging)
+    return files
+
+
+def publish_purge(spark: SparkSession, path: str, staging: str, files: Sequence[str]) -> None:
+    """Move the staged files into the cell table, then delete the files they replace; may be repeated.
+
+    In between a reader sees kept cells twice, with equal timestamps and values,
+    which counts once in every view.
+    """
+    if not files:
+        return
+    fs, make = _file_system(spark, path)
+    if fs.exists(make(staging)):
+        for status in fs.listStatus(make(staging)):
+            name = status.getPath().getName()
+            if name.endswith(".parquet") and not fs.rename(status.getPath(), make(make(path), name)):
+                raise OSError(f"{name} could not be moved into {path}")
+    for file in files:
+        fs.delete(make(spark.sparkContext._jvm.java.net.URI(file)), False)
+    remove_folder(spark, staging)
+
+
+def purge_cells(
+    spark: SparkSession, path: str, requests: DataFrame, key: str,
+    columns: Sequence[tuple[str, str]] | None = None,
+) -> int:
+    """Delete requested cells, all versions of them, from a stored cell table; returns the number of rewritten files.
+
+    Only files that hold such cells are read whole and rewritten.
+    """
+    staging = work_dir(spark, "purge")
+    files = stage_purge(spark, path, requests, key, columns, staging)
+    publish_purge(spark, path, staging, files)
+    return len(files)
+
+
 # --- snapshots --------------------------------------------------------------
 
 def export_csv(df: DataFrame, path: str, header: bool = False) -> None:

@@ -1,13 +1,16 @@
 """Streaming erasure: request files come in, every micro-batch is applied once.
 
 Each batch is one set of joins, never a loop over keys. A batch is first
-staged, then published; a small ledger remembers the state, so a restarted
-query repeats an interrupted publish from the staged copy and skips a batch
-that was already applied.
+staged, then published; a small ledger, one folder per batch, remembers the
+state, so a restarted query repeats an interrupted publish from the staged copy
+and skips a batch that was already applied. A batch has one staging folder,
+named after it: a repeated batch overwrites it, and it is removed once the
+batch is applied.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Mapping
 
@@ -17,9 +20,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from veil.functions.requests import parse_requests, request_counts
-from veil.operators.erase import PERSONAL_FAMILY, mask_entries
-from veil.sources.tables import append_cells, publish_erasure, read_cells, stage_erasure
-from veil.spec import VALUE
+from veil.operators.erase import PERSONAL_FAMILY, mask_entries, newer_than
+from veil.runtime import work_base
+from veil.sources.tables import (
+    append_cells, publish_erasure, publish_purge, read_cells, remove_folder, stage_erasure, stage_purge,
+)
+from veil.spec import CF, QUALIFIER, TS, VALUE
 
 # Fixed value: the micro-batch interval.
 BATCH_INTERVAL = "10 seconds"
@@ -31,6 +37,7 @@ LEDGER = T.StructType([
     T.StructField("touched", T.ArrayType(T.IntegerType())),
     T.StructField("lines", T.LongType()),
     T.StructField("blank", T.LongType()),
+    T.StructField("files", T.ArrayType(T.StringType())),
 ])
 
 
@@ -44,18 +51,28 @@ def request_stream(spark: SparkSession, path: str, files_per_batch: int | None =
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Batches seen so far, with counts and touched partitions, no keys and no values."""
-    return spark.read.schema(LEDGER).option("pathGlobFilter", "*.json").json(path)
+    entries = spark.read.schema(LEDGER).option("pathGlobFilter", "*.json").json(path)
+    return entries.select(*LEDGER.names)
+
+
+def _folder(path: str, batch: int) -> str:
+    return f"{path.rstrip('/')}/batch={batch}"
+
+
+def _staging(spark: SparkSession, ledger: str, batch: int) -> str:
+    """The one staging folder of a batch of this ledger."""
+    return f"{work_base(spark)}/staging-{hashlib.sha256(ledger.encode()).hexdigest()[:32]}-{batch}"
 
 
 def _note(spark: SparkSession, path: str, **entry) -> None:
     row = Row(**{f.name: entry.get(f.name) for f in LEDGER.fields})
-    spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append").json(path)
+    spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append").json(_folder(path, row["batch"]))
 
 
 def _states(spark: SparkSession, path: str, batch: int) -> dict[str, Row]:
-    """What the ledger knows of one batch, by state (at most a few rows)."""
+    """What the ledger knows of one batch, by state (at most a few rows); no other batch is read."""
     try:
-        return {r["state"]: r for r in read_ledger(spark, path).filter(F.col("batch") == batch).collect()}
+        return {r["state"]: r for r in read_ledger(spark, _folder(path, batch)).collect()}
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return {}
@@ -63,12 +80,14 @@ def _states(spark: SparkSession, path: str, batch: int) -> dict[str, Row]:
 
 
 def apply_batch(
-    spark: SparkSession, lines: DataFrame, batch: int, table: str, key: str, buckets: int, ledger: str,
+    spark: SparkSession, lines: DataFrame, batch: int, table: str, key: str, buckets: int | None, ledger: str,
     masks: Mapping | None = None, delete: bool = False,
 ) -> None:
     """Apply one batch of request lines to a bucketed table, exactly once."""
     known = _states(spark, ledger, batch)
+    staging = _staging(spark, ledger, batch)
     if "applied" in known:
+        remove_folder(spark, staging)
         return
     staged = known.get("staged")
     if staged is None:
@@ -76,37 +95,65 @@ def apply_batch(
         try:
             total, blank = request_counts(lines).first()
             requests = parse_requests(lines, key)
-            staging, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete)
+            used, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete, staging)
         finally:
             lines.unpersist()
-        entry = {"batch": batch, "staging": staging, "touched": touched, "lines": total, "blank": blank}
+        entry = {"batch": batch, "staging": used, "touched": touched, "lines": total, "blank": blank}
         _note(spark, ledger, state="staged", **entry)
     else:
         entry = {k: staged[k] for k in ("batch", "staging", "touched", "lines", "blank")}
     publish_erasure(spark, table, entry["staging"], entry["touched"], delete)
     _note(spark, ledger, state="applied", **entry)
+    remove_folder(spark, entry["staging"])
 
 
 def apply_cell_batch(
     spark: SparkSession, lines: DataFrame, batch: int, cells: str, key: str, ledger: str,
-    masks: Mapping | None = None, family: str = PERSONAL_FAMILY, ts: int | None = None,
+    masks: Mapping | None = None, family: str = PERSONAL_FAMILY, ts: int | None = None, delete: bool = False,
 ) -> None:
-    """Append the mask cells of one batch to a cell table.
+    """Mask or delete the cells of one batch in a cell table, exactly once.
 
-    A batch that is repeated after a crash appends the same masks once more,
-    which leaves every view of the table as it was.
+    Masks are staged with their timestamps first, so a repeated batch appends
+    the very same cells, and only those that are not there yet. A mask is newer
+    than every version of its cell. ``delete`` removes all cells of the
+    requested keys from the files that hold them.
     """
-    if "applied" in _states(spark, ledger, batch):
+    known = _states(spark, ledger, batch)
+    staging = _staging(spark, ledger, batch)
+    if "applied" in known:
+        remove_folder(spark, staging)
         return
-    stored = read_cells(spark, cells).schema
-    requests = parse_requests(lines, key)
-    clock = int(time.time() * 1000) if ts is None else ts
-    new = mask_entries(
-        requests, key, clock, masks, family=family, key_type=stored[key].dataType, value_type=stored[VALUE].dataType
-    )
-    append_cells(new, cells)
-    total, blank = request_counts(lines).first()
-    _note(spark, ledger, batch=batch, state="applied", lines=total, blank=blank)
+    staged = known.get("staged")
+    if staged is None:
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            total, blank = request_counts(lines).first()
+            requests, files = parse_requests(lines, key), None
+            if delete:
+                files = stage_purge(spark, cells, requests, key, None, staging)
+            else:
+                stored = read_cells(spark, cells)
+                clock = int(time.time() * 1000) if ts is None else ts
+                new = mask_entries(
+                    requests, key, clock, masks, family=family,
+                    key_type=stored.schema[key].dataType, value_type=stored.schema[VALUE].dataType,
+                )
+                newer_than(new, stored, requests, key).write.mode("overwrite").parquet(staging)
+        finally:
+            lines.unpersist()
+        entry = {"batch": batch, "staging": staging, "lines": total, "blank": blank, "files": files}
+        _note(spark, ledger, state="staged", **entry)
+    else:
+        entry = {k: staged[k] for k in ("batch", "staging", "lines", "blank", "files")}
+    if entry["files"] is not None:
+        publish_purge(spark, cells, entry["staging"], entry["files"])
+    else:
+        new = spark.read.parquet(entry["staging"])
+        if staged is not None:
+            new = new.join(read_cells(spark, cells).select(*new.columns), new.columns, "left_anti")
+        append_cells(new.select(key, CF, QUALIFIER, TS, VALUE), cells)
+    _note(spark, ledger, state="applied", **entry)
+    remove_folder(spark, entry["staging"])
 
 
 def _start(spark, request_dir, checkpoint, once, files_per_batch, handle) -> StreamingQuery:
@@ -125,7 +172,7 @@ def run_stream(
     table: str,
     checkpoint: str,
     key: str,
-    buckets: int,
+    buckets: int | None = None,
     masks: Mapping | None = None,
     *,
     delete: bool = False,
@@ -155,14 +202,18 @@ def run_cell_stream(
     masks: Mapping | None = None,
     *,
     family: str = PERSONAL_FAMILY,
+    delete: bool = False,
     once: bool = False,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """The same for a cell table: newer mask cells are appended, nothing is read or rewritten.
+    """The same for a cell table: newer mask cells are appended, nothing is rewritten.
 
-    Older versions stay readable until the table is purged.
+    Older versions stay readable until the table is purged. With ``delete`` all
+    cells of the requested keys go, and the files that held them are rewritten.
     """
     def handle(lines: DataFrame, batch: int) -> None:
-        apply_cell_batch(lines.sparkSession, lines, batch, cells, key, f"{checkpoint}/ledger", masks, family)
+        apply_cell_batch(
+            lines.sparkSession, lines, batch, cells, key, f"{checkpoint}/ledger", masks, family, delete=delete
+        )
 
     return _start(spark, request_dir, checkpoint, once, files_per_batch, handle)

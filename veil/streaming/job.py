@@ -1,6 +1,6 @@
 """The streaming erasure as a job for ``spark-submit``.
 
-    spark-submit veil/streaming/job.py --requests /in --table clients --checkpoint /checkpoints/clients --buckets 4096
+    spark-submit veil/streaming/job.py --requests /in --table clients --checkpoint /checkpoints/clients
     spark-submit veil/streaming/job.py --requests /in --cells /data/cells --checkpoint /checkpoints/cells
 """
 
@@ -22,14 +22,14 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     target.add_argument("--cells", help="path of a cell table")
     parser.add_argument("--checkpoint", required=True, help="shared folder for progress and ledger")
     parser.add_argument("--key", default="bp", help="key column")
-    parser.add_argument("--buckets", type=int, help="number of buckets of the table")
+    parser.add_argument("--buckets", type=int, help="expected number of buckets; another one is refused")
     parser.add_argument("--mask", action="append", metavar="COLUMN=TEXT", help="mask; may be repeated")
     parser.add_argument("--family", default=PERSONAL_FAMILY, help="family of the masked cells")
-    parser.add_argument("--delete", action="store_true", help="delete rows instead of masking them")
+    parser.add_argument("--delete", action="store_true", help="delete rows or cells instead of masking them")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")
     args = parser.parse_args(argv)
-    if args.table and not args.buckets:
-        parser.error("--table needs --buckets")
+    if args.cells and args.buckets:
+        parser.error("--buckets goes with --table")
     args.masks = dict(m.split("=", 1) for m in args.mask) if args.mask else dict(MASKS)
     return args
 
@@ -42,7 +42,7 @@ def main(argv: Sequence[str] | None = None) -> None:
                            delete=args.delete, once=args.once)
     else:
         query = run_cell_stream(spark, args.requests, args.cells, args.checkpoint, args.key, args.masks,
-                                family=args.family, once=args.once)
+                                family=args.family, delete=args.delete, once=args.once)
     query.awaitTermination()
 
 
