@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
+from numbers import Number
 
 import duckdb
 import pytest
@@ -31,13 +32,13 @@ def docs(spark, sf_dir):
 
 
 def normal(v):
-    return "NULL" if v is None or str(v) in ("nan", "<NA>", "NaT") else repr(float(v)) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    return "NULL" if v is None or str(v) in ("nan", "<NA>", "NaT") else repr(float(v)) if isinstance(v, Number) and not isinstance(v, bool) else str(v)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     got, want = QUERIES[name](spark, sf_dir).toPandas(), con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)

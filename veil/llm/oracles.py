@@ -89,3 +89,78 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
   sum(opening + escaped + closing)::BIGINT AS formatted_chars, sum(bad)::BIGINT AS n_violations
 FROM m GROUP BY conv_id
 """
+
+
+# CRC-32 of an ASCII text in SQL, by a table of 256 values made on the spot: the SQL engine has no such function.
+_CRC_TABLE = (
+    "crc AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]), "
+    "lambda c, x: xor(c >> 1, (c & 1) * 3988292384))) AS t)"
+)
+
+
+def _crc32(text: str) -> str:
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+# The edits of a conversation, from its first row on: a list has, for each state, the least cost and audit as one text.
+_plus = lambda at, cost, letter: f"lpad((left(a[{at + 1}], 9)::INT + {cost})::VARCHAR, 9, '0') || substr(a[{at + 1}], 10) || '{letter}'"
+_cost = lambda n: f"({n} + CASE e[2] WHEN '3' THEN 3 ELSE 0 END)"
+_stays = lambda x, initial=None: f"CASE WHEN e[2] NOT IN ('1', '2'){f' AND e[1] = {initial!r}' if initial else ''} THEN {x} END"
+_INSERT = f"[a[1], a[2], least(a[3], {_plus(0, 3, 'I')}, {_plus(1, 3, 'I')}, {_plus(3, 3, 'I')}), least(a[4], {_plus(2, 3, 'I')})]"
+_to_user = ", ".join(_stays(_plus(s, _cost(3), "R")) + ", " + _stays(_plus(s, _cost(0), "K"), "u") for s in (0, 1, 3))
+_ROW = (
+    f"[{_plus(0, 4, 'D')}, least({_plus(1, 4, 'D')}, {_stays(_plus(0, _cost(0), 'K'), 's')}), least({_plus(2, 4, 'D')}, {_to_user}), "
+    f"least({_plus(3, 4, 'D')}, {_stays(_plus(2, _cost(3), 'R'))}, {_stays(_plus(2, _cost(0), 'K'), 'a')})]"
+)
+
+ORACLES["op11_conversation_repair"] = f"""
+WITH {_CRC_TABLE},
+s AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k FROM conversations, crc),
+d AS (SELECT conv_id, turn, role AS r, text AS x, copy, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+  CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM s, (SELECT unnest([0, 1]) AS copy) WHERE k <> 0 AND (copy = 0 OR k = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x, copy) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM d),
+f AS MATERIALIZED (SELECT conv_id, turn, role, text, i, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+  CASE WHEN bare = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM o),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+  count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n_rows,
+  list_reduce(list_prepend(['000000000', NULL, NULL, NULL], flatten(list([['I'], ['I'], [initial, fault::VARCHAR]] ORDER BY i)) || [['I'], ['I']]),
+    lambda a, e: CASE WHEN e[1] = 'I' THEN {_INSERT} ELSE {_ROW} END) AS least FROM f GROUP BY conv_id),
+b AS MATERIALIZED (SELECT *, left(best, 9)::BIGINT AS cost, substr(best, 10) AS audit FROM (SELECT *, least(least[1], least[4]) AS best FROM g)),
+l AS (SELECT conv_id, p, substr(audit, p, 1) AS l, sum((substr(audit, p, 1) <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY p) AS i FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS p FROM b)),
+e AS (SELECT l.conv_id, p, l, f.role, f.text, row_number() OVER w - first_value((l = 'K' AND initial = 's')::INT) OVER w AS n
+  FROM l LEFT JOIN f ON l.conv_id IS NOT DISTINCT FROM f.conv_id AND l.i = f.i AND l <> 'I' WHERE l <> 'D' WINDOW w AS (PARTITION BY l.conv_id ORDER BY p)),
+h AS (SELECT conv_id, count(*) AS n, sha256(string_agg(CASE WHEN l = 'K' THEN role WHEN n % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN l = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS h FROM e GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h.h, sha256('')) AS repaired_sha256, coalesce(n_rows, 0) AS n_rows, coalesce(h.n, 0) AS n_repaired
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN b ON c.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN h ON c.conv_id IS NOT DISTINCT FROM h.conv_id
+"""
+
+ORACLES["op12_exact_top_k"] = """
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER w <= 10
+"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH {_CRC_TABLE},
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) - 1 AS place
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM o), crc),
+r AS (SELECT c.conv_id, place, role, text FROM c JOIN o ON o.conv_id = c.base AND place < h UNION ALL SELECT c.conv_id, place, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND place >= h),
+s AS (SELECT c.conv_id, coalesce(p, []) AS p, coalesce(b, []) AS b FROM c LEFT JOIN
+  (SELECT conv_id, list(md5(octet_length(encode(role)) || ':' || role || text) ORDER BY place) AS p, list(octet_length(encode(text)) ORDER BY place) AS b FROM r GROUP BY conv_id) x ON c.conv_id = x.conv_id),
+q AS (SELECT conv_id, len(p) AS n, d, array_to_string(p[1:d], '') AS k, coalesce(b[d], 0) AS b FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM s)),
+n AS MATERIALIZED (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, max(b) AS b, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends FROM q GROUP BY d, k),
+m AS (SELECT n.*, coalesce(x.n, 0) AS n_children FROM n LEFT JOIN (SELECT left(k, 32 * (d - 1)::INT) AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY 1) x ON n.k = x.k),
+t AS (SELECT left(k, 32 * u::INT) AS k, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * b) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS u FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN t ON m.k = t.k LEFT JOIN n u ON m.d > 0 AND u.k = left(m.k, 32 * (m.d - 1)::INT)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veil.llm import chat, decontaminate, langid, line_dedup, mix, ngram_join, pii, quality_rules, url_filter, warc
+from veil.llm import chat, decontaminate, langid, line_dedup, mix, ngram_join, pii, quality_rules, repair, topk, trie, url_filter, warc
 from veil.llm.common import table
 from veil.runtime import work_dir
 
@@ -73,7 +73,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of every hundredth vector."""
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_decontamination, op3_mix_sources, op4_language_id, op5_warc, op6_ngram_jaccard_join, op7_pii,
-    op8_url_filter, op9_chat_format, op10_line_dedup,
+    op8_url_filter, op9_chat_format, op10_line_dedup, op11_conversation_repair, op12_exact_top_k, op13_prefix_trie,
 )}
