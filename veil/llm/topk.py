@@ -155,7 +155,7 @@ def collect(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
             left, right = exact(queries[at:at + BLOCK], rows)
             cutoff = cutoffs[at:at + BLOCK]
             # The k-th best score is this high, so with less than its share from every list a pair stays below.
-            share = -(-cutoff // lists)
+            share = np.array([-np.inf if c == LEAST else -(-int(c) // lists) for c in cutoff], dtype=left.dtype)
             known, missing = 0, np.zeros((len(left), len(right)), dtype=np.int64)
             for i, p in enumerate(parts):
                 listed = left[:, p] @ right[:, p].T
