@@ -96,3 +96,42 @@ def test_hot_group_in_slabs_equals_one_sweep(spark, kind):
     assert rows(interval_union(df, ["g"], rows_per_slab=40)) == rows(interval_union(df, ["g"]))
     a, b = df.filter(F.xxhash64("lo") % 2 == 0), df.filter(F.xxhash64("lo") % 2 != 0)
     assert rows(interval_intersect(a, b, ["g"], rows_per_slab=40)) == rows(interval_intersect(a, b, ["g"]))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "decimal(20,3)", "timestamp_ntz"])
+def test_slabs_have_their_share_whatever_the_axis(spark, kind, monkeypatch):
+    """A far outlier, a long common prefix and 9999-12-31 leave no slab that holds much more than the others."""
+    from veil.operators import intervals as I
+
+    sizes = {}
+    sweep = I._sweep_slabs
+
+    def watched(points, by, two_sided):
+        per_slab = [r["count"] for r in points.select(*by, "slab", "t").distinct().groupBy(*by, "slab").count().collect()]
+        sizes["largest"], sizes["mean"], sizes["slabs"] = max(per_slab), sum(per_slab) / len(per_slab), len(per_slab)
+        return sweep(points, by, two_sided)
+
+    monkeypatch.setattr(I, "_sweep_slabs", watched)
+    form = {
+        "bigint": lambda c: F.when(c == 0, 2**62).otherwise(c), "decimal(20,3)": lambda c: F.when(c == 0, 10**15).otherwise(c).cast("decimal(20,3)"),
+        "string": lambda c: F.concat(F.lit("https://the-same-host.example.org/"), F.lpad(c.cast("string"), 9, "0")),
+        "date": lambda c: F.when(c == 0, F.lit("9999-12-31").cast("date")).otherwise(F.date_add(F.lit("2020-01-01").cast("date"), c.cast("int"))),
+        "timestamp_ntz": lambda c: F.when(c == 0, F.lit("9999-12-31").cast("timestamp_ntz")).otherwise(F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=c)),
+    }[kind]
+    lo, hi = F.col("id") * 3 + 1, F.col("id") * 3 + F.when(F.col("id") % 5 == 0, 4).otherwise(2)
+    df = spark.range(4000).select(F.lit("g").alias("g"), form(lo).alias("lo"), form(F.when(F.col("id") == 3999, 0).otherwise(hi)).alias("hi"))
+    got = rows(interval_union(df, ["g"], rows_per_slab=1024))
+    assert sizes["slabs"] > 10 and sizes["largest"] <= 2 * sizes["mean"] + 1
+    monkeypatch.setattr(I, "_sweep_slabs", sweep)
+    assert got == rows(interval_union(df, ["g"]))
+    assert rows(interval_union(df.drop("g"), rows_per_slab=1024)) == [r[1:] for r in got]
+
+
+def test_carries_go_through_blocks_of_slabs(spark, monkeypatch):
+    from veil.operators import intervals as I
+
+    monkeypatch.setattr(I, "SLABS_PER_BLOCK", 3)
+    rnd = random.Random(8)
+    df = make(spark, [(lo := rnd.randrange(1000), lo + rnd.randrange(1, 30)) for _ in range(300)] + [(5, 900), (None, 2), (990, None)])
+    assert rows(interval_union(df, rows_per_slab=8)) == rows(interval_union(df))
+    assert rows(interval_intersect(df, df, rows_per_slab=8)) == rows(interval_union(df))

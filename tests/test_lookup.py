@@ -188,3 +188,28 @@ def test_diff_sees_microseconds_and_columns_of_one_side(spark):
     left = spark.sql("select 1 k, timestamp'2024-01-01 00:00:00.000001' t, 5 a")
     right = spark.sql("select 1 k, timestamp'2024-01-01 00:00:00.000999' t, 6 b")
     assert {r["column"] for r in diff(left, right, ["k"]).collect()} == {"t", "a", "b"}
+
+
+@pytest.mark.parametrize("parts", [2, 512])
+def test_ranges_of_text_with_a_common_prefix(spark, parts, monkeypatch, join_kind):
+    from veil.operators import lookup as L
+
+    monkeypatch.setattr(L, "PARTS", parts)
+    name = lambda c: F.concat(F.lit("https://the-same-host.example.org/"), F.lpad(c.cast("string"), 6, "0"))
+    df = spark.range(6000).select("id", name(F.col("id")).alias("key"))
+    narrow = spark.range(0, 3000, 3).select(name(F.col("id")).alias("lo"), name(F.col("id") + 1).alias("hi"))
+    wide = spark.createDataFrame([(3500, 5000), (100, 200), (4000, 4100), (5500, 5400)], "a int, b int").select(name(F.col("a")).alias("lo"), name(F.col("b")).alias("hi"))
+    open_end = spark.createDataFrame([(5990,)], "a int").select(name(F.col("a")).alias("lo"), F.lit(None).cast("string").alias("hi"))
+    got = ids(range_lookup(df, narrow.unionByName(wide).unionByName(open_end), "key"))
+    assert got == sorted({*range(0, 3000, 3), *range(100, 200), *range(3500, 5000), *range(5990, 6000)})
+
+
+def test_a_wide_range_makes_no_part_large(spark, numbers):
+    """Parts are cut at the starts of ranges, so one wide range among narrow ones changes nothing."""
+    from veil.operators.cuts import depth_cuts, not_above, search_steps  # noqa: F401
+
+    starts = spark.range(10_000).select(F.lit(0).alias("g"), F.when(F.col("id") < 9_000, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("t"))
+    cuts = depth_cuts(starts, ["g"], "t", 100)
+    per_part = starts.join(cuts, "g").groupBy(not_above(F.col("cuts"), F.col("steps"), F.col("t")).alias("part")).count()
+    sizes = [r["count"] for r in per_part.collect()]
+    assert 80 <= len(sizes) <= 120 and max(sizes) <= 200

@@ -136,8 +136,23 @@ def bits_to_bytes(number: Column, kind: T.DataType) -> Column:
     return _long_to_bytes(number, FIXED_WIDTH[type(kind)])
 
 
-def from_bits(number: Column, kind: T.DataType) -> Column:
-    """Typed value from :func:`bits`."""
+def _only(number: Column, kind: T.DataType, length: Column) -> Column:
+    """Of the bits of a value of some length, those of its first bytes that its type takes; null if it has fewer."""
+    width = FIXED_WIDTH[type(kind)]
+    surplus = (F.least(length, F.lit(8)) - width) * 8
+    if width == 8:
+        return F.when(length >= width, number)
+    mask = F.lit((1 << 8 * width) - 1).cast("bigint")
+    return F.when(length >= width, F.call_function("shiftrightunsigned", number, surplus.cast("int")).bitwiseAND(mask))
+
+
+def from_bits(number: Column, kind: T.DataType, length: Column | None = None) -> Column:
+    """Typed value from :func:`bits` of a value of ``length`` bytes (if not given, of just as many as its type takes).
+
+    Of a longer value the first bytes count, a shorter one is null.
+    """
+    if length is not None:
+        number = _only(number, kind, length)
     if isinstance(kind, T.BooleanType):
         return number != 0
     if isinstance(kind, T.DoubleType):
@@ -148,9 +163,9 @@ def from_bits(number: Column, kind: T.DataType) -> Column:
 
 
 def from_bytes(c: Column, kind: T.DataType) -> Column:
-    """Typed value of raw bytes written by :func:`to_bytes`."""
+    """Typed value of raw bytes written by :func:`to_bytes`; numbers of too few bytes are null."""
     if type(kind) in FIXED_WIDTH:
-        return from_bits(bits(c), kind)
+        return from_bits(bits(c), kind, F.octet_length(c))
     if isinstance(kind, T.StringType):
         return F.decode(c, "utf-8")
     if isinstance(kind, T.BinaryType):

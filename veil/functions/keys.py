@@ -27,13 +27,13 @@ def key_bytes(dims: Sequence) -> Column:
 
 
 def key_parts(rowkey: Column, dims: Sequence) -> list[Column]:
-    """Typed dimensions of a raw key, in order."""
+    """Typed dimensions of a raw key, in order; those that a key is too short for are null."""
     parts, start = [], 1
     for d in _dims(dims):
         if d.width is None:
             piece = F.substr(rowkey, F.lit(start))
         else:
-            piece = F.substring(rowkey, start, d.width)
+            piece = F.when(F.octet_length(rowkey) >= start + d.width - 1, F.substring(rowkey, start, d.width))
             start += d.width
         parts.append(from_bytes(piece, d.type).alias(d.name))
     return parts

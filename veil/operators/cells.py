@@ -18,6 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from veil.functions.coders import Coder, decoder
 from veil.functions.codec import bits, bits_to_bytes, float_steps, from_bits, from_bytes, to_bytes
 from veil.functions.keys import key_bytes, key_parts
 from veil.functions.values import decode_value, encode_value, to_text
@@ -161,9 +162,9 @@ def _split_projection(spec: CellSpec, columns: Sequence[str] | None):
 class _Decoder:
     """Chooses how the value of a column is decoded."""
 
-    def __init__(self, cells: DataFrame, decoders: Mapping[str, Callable[[Column], Column]] | None):
+    def __init__(self, cells: DataFrame, decoders: Mapping[str, Coder | Callable[[Column], Column]] | None):
         self.stored = cells.schema[VALUE].dataType
-        self.custom = dict(decoders or {})
+        self.custom = {name: decoder(d) for name, d in (decoders or {}).items()}
 
     def __call__(self, column: CellColumn, value: Column) -> Column:
         if column.name in self.custom:
@@ -194,7 +195,7 @@ def to_rows(
     max_versions: int | None = 1,
     merge_to_latest: bool = True,
     keep_ts: bool = False,
-    decoders: Mapping[str, Callable[[Column], Column]] | None = None,
+    decoders: Mapping[str, Coder | Callable[[Column], Column]] | None = None,
     tie: Sequence[str] = (VALUE,),
     split_maps_over: int | None = None,
 ) -> DataFrame:
@@ -325,7 +326,7 @@ def flatten_versions(
     max_ts: int | None = None,
     max_versions: int | None = 1,
     keep_ts: bool = False,
-    decoders: Mapping[str, Callable[[Column], Column]] | None = None,
+    decoders: Mapping[str, Coder | Callable[[Column], Column]] | None = None,
     tie: Sequence[str] = (VALUE,),
 ) -> DataFrame:
     """One row per key and distinct timestamp; columns without a cell at that time are null.
@@ -375,6 +376,51 @@ def series(cells: DataFrame, spec, name: str, *, timestamp=None, min_ts=None, ma
     return kept.select(*spec.key_names, *entry, decode(c, F.col(VALUE)).alias(VALUE))
 
 
+def map_entries(
+    cells: DataFrame, spec, name: str, *, timestamp=None, min_ts=None, max_ts=None, max_versions: int = 1, tie: Sequence[str] = (VALUE,),
+) -> DataFrame:
+    """(keys, ``name``, ``value``): the entries of a dynamic column, one row each.
+
+    A history has its at most ``max_versions`` versions as a map in ``value``. Where a pattern captures the same text from
+    several qualifiers, the last one in qualifier order counts.
+    """
+    spec = cell_spec(spec)
+    c = spec.column(name)
+    if not c.is_dynamic:
+        raise ValueError(f"column {name!r} has no entries by qualifier")
+    keys, decode = spec.key_names, _Decoder(cells, None)
+    scoped = in_time(cells.filter(spec.match(c)), timestamp, min_ts, max_ts)
+    if c.is_series:
+        kept = last_versions(scoped, keys, max_versions, tie)
+        one = kept.groupBy(*keys, CF, QUALIFIER, TS).agg(_one_value(F.col(VALUE), tie).alias(VALUE))
+        versions = F.map_from_entries(F.collect_list(F.struct(F.col(TS), decode(c, F.col(VALUE)))))
+        per_cell = one.groupBy(*keys, QUALIFIER).agg(versions.alias("_value"))
+    else:
+        per_cell = scoped.groupBy(*keys, QUALIFIER).agg(_newest_value(tie).alias("_value")).withColumn("_value", decode(c, F.col("_value")))
+    named = per_cell.select(*keys, spec.map_key(c).alias("_name"), QUALIFIER, "_value")
+    if c.regex is not None:
+        named = named.groupBy(*keys, "_name").agg(F.max_by("_value", QUALIFIER).alias("_value"))
+    return named.select(*keys, F.col("_name").alias("name"), F.col("_value").alias(VALUE))
+
+
+def map_parts(cells: DataFrame, spec, name: str, entries: int = 100_000, **options) -> DataFrame:
+    """(keys, ``map_part``, the column): a dynamic column as maps of at most ``entries`` entries.
+
+    The entries (see :func:`map_entries`) are range-sorted by key and name, and the sorted stream is cut every ``entries``
+    rows. So a key with any number of qualifiers is spread over tasks and rows, nothing is
+    measured first, and no task ever holds more than one part. The maps of a key add up to
+    the whole; ``map_part`` grows in the order of names, with gaps. A narrow key that a cut
+    happens to meet has two parts.
+    """
+    spec = cell_spec(spec)
+    keys = spec.key_names
+    order = [*keys, "name"]
+    ordered = map_entries(cells, spec, name, **options).repartitionByRange(*order).sortWithinPartitions(*order)
+    cut = F.floor(F.monotonically_increasing_id() / F.lit(entries)).cast("bigint")
+    part = ordered.withColumn(MAP_PART, cut)
+    return part.groupBy(*keys, MAP_PART).agg(F.map_from_entries(F.collect_list(F.struct("name", VALUE))).alias(name))
+
+
 # --- counts and structure ---------------------------------------------------
 
 def count_rows(cells: DataFrame, spec) -> DataFrame:
@@ -419,8 +465,10 @@ def discover_schema(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # --- writing ----------------------------------------------------------------
 
-def to_cells(df: DataFrame, spec, ts: int | None = None, stored: str | T.DataType = "string") -> DataFrame:
-    """Rows to cells, in one pass over ``df``.
+def to_cells(
+    df: DataFrame, spec, ts: int | None = None, stored: str | T.DataType = "string", coders: Mapping[str, Coder] | None = None,
+) -> DataFrame:
+    """Rows to cells, in one pass over ``df``. A column in ``coders`` is stored as its coder says.
 
     Null values, null maps and null map values make no cell, so they never
     overwrite an older value. All cells without a timestamp of their own get
@@ -431,12 +479,17 @@ def to_cells(df: DataFrame, spec, ts: int | None = None, stored: str | T.DataTyp
     stored = parse_type(stored)
     clock = F.lit(int(time.time() * 1000) if ts is None else ts).cast("bigint")
 
+    def form(c: CellColumn, value: Column) -> Column:
+        if coders and c.name in coders:
+            return coders[c.name].encode(value).cast(stored)
+        return encode_value(value, c.value_type, stored)
+
     def cell(c: CellColumn, qualifier, stamp, value) -> Column:
         return F.struct(
             F.lit(c.cf).alias(CF),
             (F.lit(qualifier) if isinstance(qualifier, str) else qualifier).alias(QUALIFIER),
             stamp.alias(TS),
-            encode_value(value, c.value_type, stored).alias(VALUE),
+            form(c, value).alias(VALUE),
         )
 
     def map_cells(c: CellColumn) -> Column:
@@ -477,10 +530,19 @@ def _by_type(spec: CellSpec, convert: Callable[[T.DataType], Column], otherwise:
     return out
 
 
-def decode_cells(raw: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
+def _own_forms(spec: CellSpec, coders: Mapping[str, Coder] | None, convert: Callable[[CellColumn, Coder], Column], otherwise: Column) -> Column:
+    """Cells of columns with a coder by their coder, all others as before."""
+    for name, coder in (coders or {}).items():
+        c = spec.column(name)
+        otherwise = F.when(spec.match(c), convert(c, coder)).otherwise(otherwise)
+    return otherwise
+
+
+def decode_cells(raw: DataFrame, spec, rowkey: str = "rowkey", coders: Mapping[str, Coder] | None = None) -> DataFrame:
     """A dump of raw binary cells (key and value) as cells with typed keys and text values.
 
-    Cells of undeclared columns keep their place with a null value.
+    Cells of undeclared columns keep their place with a null value, and so do numbers with too few bytes.
+    Columns in ``coders`` are read by their coder.
     """
     spec = cell_spec(spec)
     numbers = [c for c in spec.columns if type(c.value_type) in FIXED_WIDTH]
@@ -489,14 +551,15 @@ def decode_cells(raw: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
         raw = raw.withColumn("_bits", F.when(any_of([spec.match(c) for c in numbers]), bits(F.col(VALUE))))
 
     def text(kind: T.DataType) -> Column:
-        typed = from_bits(F.col("_bits"), kind) if type(kind) in FIXED_WIDTH else from_bytes(F.col(VALUE), kind)
+        typed = from_bits(F.col("_bits"), kind, F.octet_length(VALUE)) if type(kind) in FIXED_WIDTH else from_bytes(F.col(VALUE), kind)
         return to_text(typed, kind)
 
     value = _by_type(spec, text, F.lit(None).cast("string"))
+    value = _own_forms(spec, coders, lambda c, coder: to_text(coder.decode(F.col(VALUE)), c.value_type), value)
     return raw.select(*key_parts(F.col(rowkey), spec.keys), CF, QUALIFIER, TS, value.alias(VALUE))
 
 
-def encode_cells(cells: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
+def encode_cells(cells: DataFrame, spec, rowkey: str = "rowkey", coders: Mapping[str, Coder] | None = None) -> DataFrame:
     """Cells with typed keys to raw binary cells: the way back of :func:`decode_cells`."""
     spec = cell_spec(spec)
     stored = cells.schema[VALUE].dataType
@@ -514,4 +577,6 @@ def encode_cells(cells: DataFrame, spec, rowkey: str = "rowkey") -> DataFrame:
         return floats[kind] if kind in floats else to_bytes(decode_value(F.col(VALUE), stored, kind), kind)
 
     value = _by_type(spec, raw_bytes, F.lit(None).cast("binary"))
+    own = lambda c, coder: coder.encode(decode_value(F.col(VALUE), stored, c.value_type)).cast("binary")
+    value = _own_forms(spec, coders, own, value)
     return cells.select(key_bytes(spec.keys).alias(rowkey), CF, QUALIFIER, TS, value.alias(VALUE))

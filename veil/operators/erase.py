@@ -148,6 +148,29 @@ def erase(target: DataFrame, requests: DataFrame, key: str) -> DataFrame:
     return _Requested(requests, key).join(target, "left_anti")
 
 
+# What a request may ask for, as options of mask(); "delete" asks for no row to be left.
+KINDS = {
+    "mask": {}, "replace": {"one_row_per_key": True}, "upsert": {"upsert_unmatched": True},
+    "replace_upsert": {"one_row_per_key": True, "upsert_unmatched": True}, "delete": None,
+}
+
+
+def check_kind(kind: str) -> str:
+    if kind not in KINDS:
+        raise ValueError(f"unknown kind of request {kind!r}; there are {sorted(KINDS)}")
+    return kind
+
+
+def answer(
+    target: DataFrame, requests: DataFrame, key: str, kind: str = "mask", masks: Mapping[str, object] | None = None,
+    order: Sequence | None = None,
+) -> DataFrame:
+    """The target after requests of one kind: all rows masked, one row per key left, unknown keys added, or rows deleted."""
+    if KINDS[check_kind(kind)] is None:
+        return erase(target, requests, key)
+    return mask(target, requests, key, masks, order=order, **KINDS[kind])
+
+
 def audit(target: DataFrame, requests: DataFrame, key: str, fields: Sequence[str] | None = None) -> DataFrame:
     """Per request: rows found, and in how many of them each field was set. Counts only."""
     fields = [c for c in target.columns if c != key] if fields is None else list(fields)

@@ -4,9 +4,10 @@ Both operators sweep over the interval ends: +1 where one opens, -1 where one
 closes, and a running sum tells where the set covers the axis. No interval is
 ever paired with all others of its group.
 
-A group that is too big for one task is cut into slabs of the axis. Each slab
-is swept on its own, starting from the sum carried over from the slabs before
-it; the carries come from one small row per slab.
+A group that is too big for one task is cut into slabs of the axis of equal
+depth, at quantiles of its own interval ends. Each slab is swept on its own,
+starting from the sum carried over from the slabs before it; the carries come
+from one small row per slab.
 
 A null ``lo`` is open to the left, a null ``hi`` to the right; empty intervals
 are ignored, touching ones merge.
@@ -17,31 +18,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from veil.operators.cuts import depth_cuts, not_above
 from veil.runtime import measured
 
 ROWS_PER_SLAB = 2_000_000
-# Slabs per filling of a slab by the biggest group: spare room for an uneven axis.
+# Slabs per filling of a slab: spare room for the unevenness of a sample.
 SLABS_PER_FILL = 4
-
-
-def position(c: Column, kind: T.DataType) -> Column:
-    """A number that never decreases as ``c`` grows (used for cutting only, not for comparing)."""
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.when(c.isNotNull(), F.least(F.greatest(c.cast("double"), F.lit(-1e300)), F.lit(1e300)))
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_date(c.cast("date")).cast("double")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        raw = F.encode(c, "utf-8") if isinstance(kind, T.StringType) else c
-        return F.conv(F.rpad(F.hex(F.substring(raw, 1, 6)), 12, "0"), 16, 10).cast("double")
-    raise ValueError(f"intervals over {kind.simpleString()} are not supported")
+# Slabs whose carries are summed in one step; the sums of such blocks make the second one.
+SLABS_PER_BLOCK = 1024
 
 
 def _ends(df: DataFrame, by: Sequence[str], lo: str, hi: str, a: int, b: int) -> DataFrame:
@@ -89,13 +75,23 @@ def _sweep_slabs(points: DataFrame, by: Sequence[str], two_sided: bool) -> DataF
     """
     cell = [*by, "slab"]
     in_order = F.col("t").asc_nulls_first()
-    earlier = Window.partitionBy(*by).orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
     running = Window.partitionBy(*cell).orderBy("step", in_order).rowsBetween(Window.unboundedPreceding, 0)
 
     def inherited(df: DataFrame, *columns: str) -> DataFrame:
-        carried = [F.coalesce(F.sum(c).over(earlier), F.lit(0).cast("bigint")).alias(c) for c in columns]
-        per_slab = df.groupBy(*cell).agg(*[F.sum(c).alias(c) for c in columns])
-        return per_slab.select(*cell, *carried, F.lit(False).alias("step"))
+        """What every slab gets from those before it: sums inside a block of slabs, and sums of whole blocks."""
+        before = Window.partitionBy(*by, "block").orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+        blocks_before = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        zero = F.lit(0).cast("bigint")
+        block = F.floor(F.col("slab") / SLABS_PER_BLOCK).alias("block")
+        per_slab = df.groupBy(*cell, block).agg(*[F.sum(c).alias(c) for c in columns])
+        per_block = per_slab.groupBy(*by, "block").agg(*[F.sum(c).alias(c) for c in columns])
+        per_block = per_block.select(
+            *[F.col(c).alias(f"_of_{c}") for c in [*by, "block"]], *[F.coalesce(F.sum(c).over(blocks_before), zero).alias(f"_all_{c}") for c in columns]
+        )
+        same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*by, "block"]])
+        inside = per_slab.select(*cell, "block", *[F.coalesce(F.sum(c).over(before), zero).alias(c) for c in columns])
+        carried = [(F.col(c) + F.col(f"_all_{c}")).alias(c) for c in columns]
+        return inside.join(per_block, same).select(*cell, *carried, F.lit(False).alias("step"))
 
     steps = _changes(points, cell).withColumn("step", F.lit(True))
     swept = steps.unionByName(inherited(steps, "da", "db"), allowMissingColumns=True)
@@ -130,41 +126,34 @@ def _covered(
     def together(frames: Sequence[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, frames)
 
-    def points(keep=lambda df: df, extra: Sequence[str] = ()) -> DataFrame:
-        return together([_ends(keep(df), [*by, *extra], lo, hi, a, b) for df, a, b in sides])
+    def points() -> DataFrame:
+        return together([_ends(df, by, lo, hi, a, b) for df, a, b in sides])
 
-    intervals = together([df.select(*by, lo, hi) for df, _, _ in sides])
-    kind = intervals.schema[lo].dataType
-    p_lo, p_hi = position(F.col(lo), kind), position(F.col(hi), kind)
-    ends = (F.count(F.lit(1)) * 2).alias("_n")
-    sizes = intervals.groupBy(*by).agg(
-        ends, F.min(F.least(p_lo, p_hi)).alias("_low"), F.max(F.greatest(p_lo, p_hi)).alias("_high")
-    )
-    biggest, low, high = sizes.agg(F.max("_n"), F.min("_low"), F.max("_high")).first()
+    ends = together([df.select(*by) if by else df.select(F.lit(0).alias("_all")) for df, _, _ in sides])
+    sizes = ends.groupBy(*(by or ["_all"])).agg((F.count(F.lit(1)) * 2).alias("_n"))
+    biggest = sizes.agg(F.max("_n")).first()[0]
     if (biggest or 0) <= rows_per_slab:
         return _sweep(points(), by, two_sided)
 
-    def cut(p: Column, first: Column, last: Column, n: Column) -> Column:
-        width = (last - first) / F.ceil(n * SLABS_PER_FILL / rows_per_slab)
-        number = F.when(last > first, F.floor((p - first) / F.when(width > 0, width)))
-        return F.when(p.isNull(), -1).otherwise(F.coalesce(number, F.lit(0))).cast("bigint")
-
-    p = position(F.col("t"), kind)
+    # No group at all is one group.
+    groups = list(by) or ["_all"]
+    sides = sides if by else [(df.withColumn("_all", F.lit(0)), a, b) for df, a, b in sides]
+    big = measured(sizes.filter(F.col("_n") > rows_per_slab).select(*[F.col(c).alias(f"_big_{c}") for c in groups]))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_big_{c}")) for c in groups])
+
+    def ends_of(how: str) -> DataFrame:
+        return together([_ends(df.join(big, same, how), groups, lo, hi, a, b) for df, a, b in sides])
+
+    big_points = ends_of("left_semi")
+    cuts = depth_cuts(big_points.select(*groups, "t"), groups, "t", max(1, rows_per_slab // SLABS_PER_FILL))
+    cuts = measured(cuts.withColumnsRenamed({c: f"_cut_{c}" for c in groups}))
+    same_cuts = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_cut_{c}")) for c in groups])
+    slab = F.when(F.col("t").isNull(), -1).otherwise(F.coalesce(not_above(F.col("cuts"), F.col("steps"), F.col("t")), F.lit(0))).cast("bigint")
+    placed = big_points.join(cuts, same_cuts, "left").select(*groups, "t", "da", "db", slab.alias("slab"))
+    pieces = _sweep_slabs(placed, groups, two_sided)
     if not by:
-        slab = cut(p, F.lit(low).cast("double"), F.lit(high).cast("double"), F.lit(biggest))
-        return _sweep_slabs(points().withColumn("slab", slab), by, two_sided)
-
-    big = measured(
-        sizes.filter(F.col("_n") > rows_per_slab)
-        .select(*[F.col(c).alias(f"_big_{c}") for c in by], "_n", "_low", "_high")
-    )
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_big_{c}")) for c in by])
-    small_pieces = _sweep(points(lambda df: df.join(big, same, "left_anti")), by, two_sided)
-    extent = ["_n", "_low", "_high"]
-    big_points = points(lambda df: df.join(big, same), extent)
-    slab = cut(p, F.col("_low"), F.col("_high"), F.col("_n"))
-    big_pieces = _sweep_slabs(big_points.withColumn("slab", slab).drop(*extent), by, two_sided)
-    return small_pieces.unionByName(big_pieces)
+        return pieces.drop("_all")
+    return _sweep(ends_of("left_anti"), by, two_sided).unionByName(pieces)
 
 
 def interval_union(

@@ -6,11 +6,13 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from veil.operators.intervals import interval_union, position
+from veil.operators.cuts import count_while, depth_cuts, not_above, search_steps
+from veil.operators.intervals import interval_union
 from veil.runtime import measured
 from veil.spec import any_of
 
-RANGE_BLOCK = 4096
+#: Parts of the key axis that a table of ranges is dealt to, about.
+PARTS = 512
 #: Longer literal lists become a table; the rows found are the same.
 LITERALS_IN_PLAN = 1000
 
@@ -55,10 +57,12 @@ def range_lookup(df: DataFrame, ranges: DataFrame | Iterable[tuple], key: str) -
 
     A short literal list becomes an ``OR`` of ranges that reaches the scan. A
     table of ranges (columns ``lo``, ``hi``) is merged first, so ranges are
-    disjoint, and then cut into equal buckets of the key axis: the lookup is an
-    equality join on the bucket, never a comparison of all keys with all
-    ranges. The bucket width is the mean width of the ranges, so cutting makes
-    at most about three rows per range, however uneven the ranges are.
+    disjoint, and dealt to parts of the key axis that are cut at quantiles of
+    their starts: however wide single ranges are or whatever prefix the keys
+    share, a part has its even share of ranges. A part is one row with its ranges in
+    order, among them the one that reaches into it from the left. The lookup is
+    an equality join on the part and a binary search in it, never a
+    comparison of all keys with all ranges.
     """
     if not isinstance(ranges, DataFrame):
         pairs = list(ranges)
@@ -70,39 +74,40 @@ def range_lookup(df: DataFrame, ranges: DataFrame | Iterable[tuple], key: str) -
         ranges = df.sparkSession.createDataFrame(pairs, ends)
 
     kind = df.schema[key].dataType
-    merged = interval_union(ranges.select(F.col("lo").cast(kind), F.col("hi").cast(kind)))
-    p_lo, p_hi = position(F.col("lo"), kind), position(F.col("hi"), kind)
-    n, low, high, sum_lo, sum_hi, open_lo, open_hi, first_lo, last_hi = merged.agg(
-        F.count(F.lit(1)), F.min(F.least(p_lo, p_hi)), F.max(F.greatest(p_lo, p_hi)),
-        F.sum(p_lo), F.sum(p_hi), F.count_if(p_lo.isNull()), F.count_if(p_hi.isNull()), F.min("lo"), F.max("hi"),
+    ranges = ranges.select(F.col("lo").cast(kind), F.col("hi").cast(kind))
+    ranges = ranges.filter(F.col("lo").isNull() | F.col("hi").isNull() | (F.col("lo") < F.col("hi")))
+    n, starts, open_lo, open_hi, first_lo, last_hi = ranges.agg(
+        F.count(F.lit(1)), F.approx_count_distinct("lo"), F.count_if(F.col("lo").isNull()), F.count_if(F.col("hi").isNull()), F.min("lo"), F.max("hi")
     ).first()
-    if low is None:
-        # no range at all, or the single one without any bound
-        return df.filter(F.col(key).isNotNull() if n else F.lit(False))
-    span = ((sum_hi or 0.0) + open_hi * high) - ((sum_lo or 0.0) + open_lo * low)
-    width = max(span / n, (high - low) / 2.0**40) or 1.0
-
-    def bucket(p: Column) -> Column:
-        return F.floor((F.least(F.greatest(p, F.lit(low)), F.lit(high)) - F.lit(low)) / F.lit(width)).cast("bigint")
-
-    first, last = bucket(F.coalesce(p_lo, F.lit(low))), bucket(F.coalesce(p_hi, F.lit(high)))
-    blocks = merged.select(
-        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), last.alias("_last"),
-        F.explode(F.sequence(first, last, F.lit(RANGE_BLOCK).cast("bigint"))).alias("_first"),
-    )
-    cut = blocks.select(
-        "_lo", "_hi",
-        F.explode(F.sequence("_first", F.least(F.col("_first") + RANGE_BLOCK - 1, F.col("_last")))).alias("_bucket"),
-    )
+    if not n:
+        return df.filter(F.lit(False))
+    # The cut points are a row that every key looks itself up in; they are bounded, however many ranges there are.
+    sampled = depth_cuts(ranges.select(F.lit(0).alias("_all"), "lo"), ["_all"], "lo", -(-max(1, starts) // PARTS)).select("cuts").first()
+    found = list(sampled["cuts"]) if sampled else []
+    cuts = F.array(*[F.lit(c) for c in found]).cast(T.ArrayType(kind))
+    powers = F.array(*[F.lit(2**e) for e in range(len(found).bit_length(), -1, -1)])
+
+    def part(value: Column) -> Column:
+        return not_above(cuts, powers, value)
+
+    run = F.struct("lo", "hi")
+    parts = interval_union(ranges).groupBy(part(F.col("lo")).alias("_part")).agg(F.sort_array(F.collect_list(run)).alias("_own"), F.max(run).alias("_last"))
+    every = df.sparkSession.range(len(found) + 1).select(F.col("id").cast("int").alias("_part"))
+    # Also a part without a start of its own may be covered by the range that started last before it.
+    left = F.last("_last", ignorenulls=True).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    carried = every.join(parts.select("_part", "_last"), "_part", "left").select("_part", left.alias("_left"))
+    runs = F.concat(F.when(F.col("_left").isNull(), F.array()).otherwise(F.array("_left")), F.coalesce("_own", F.array()))
+    held = carried.join(parts.select("_part", "_own"), "_part", "left").select("_part", runs.alias("_runs")).filter(F.size("_runs") > 0)
+    held = held.withColumn("_steps", search_steps(F.col("_runs")))
+
     k = F.col(key)
-    inside = (
-        (bucket(position(k, kind)) == F.col("_bucket"))
-        & (F.col("_lo").isNull() | (k >= F.col("_lo")))
-        & (F.col("_hi").isNull() | (k < F.col("_hi")))
-    )
-    # the outer bounds are plain comparisons, which let the scan skip files and row groups
+    # The outer bounds are plain comparisons, which let the scan skip files and row groups.
     outer = _inside(k, None if open_lo else first_lo, None if open_hi else last_hi)
-    return df.filter(outer).join(measured(cut), inside, "left_semi")
+    started = count_while(F.col("_runs"), F.col("_steps"), lambda r: r.isNotNull() & (r["lo"].isNull() | (r["lo"] <= k)))
+    run = F.get(F.col("_runs"), started - 1)
+    inside = (started > 0) & (run["hi"].isNull() | (k < run["hi"]))
+    found = df.filter(outer & k.isNotNull()).join(measured(held), part(k) == F.col("_part"))
+    return found.filter(inside).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def in_key_order(df: DataFrame, *keys: str) -> DataFrame:

@@ -238,4 +238,41 @@ ORACLES: dict[str, str] = {
       FROM asked LEFT JOIN accounts ON asked.bp = accounts.bp GROUP BY asked.bp""",
     "e9_stream": MASKED_CLIENTS,
     "e9_cell_stream": MASKED_CLIENTS,
+    "a5_same_ts": f"""WITH {CLIENTS}
+      SELECT bp, custid, level, pdl, age, gender, iban, CASE WHEN gender = 'F' THEN '- MOVED' ELSE street END AS street
+      FROM clients""",
+    "a7_compact_writes": f"""WITH {EVENT_CELLS}, last AS (
+        SELECT rowkey, cf, qualifier, ts, max(value) + CASE WHEN rowkey % 5 = 1 THEN 1 ELSE 0 END AS value FROM cells
+        GROUP BY rowkey, cf, qualifier, ts)
+      SELECT rowkey, cf, qualifier, ts, value FROM (SELECT *, row_number() OVER (PARTITION BY rowkey, cf, qualifier ORDER BY ts DESC) AS rn FROM last)
+      WHERE rn = 1""",
+    "j2_wide_range": """WITH c AS (SELECT 'customer-of-the-house-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS lo FROM customer WHERE c_acctbal < 0),
+      n AS (SELECT max(c_custkey) AS n FROM customer)
+      SELECT o_orderkey, 'customer-of-the-house-' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS client FROM orders, n
+      WHERE (o_custkey >= n // 3 AND o_custkey < n * 2 // 3) OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+    "k3_bad_lengths": """SELECT event_id, event_id AS from_8_as_8, event_id >> 32 AS from_8_as_4, event_id >> 48 AS from_8_as_2,
+      CAST(NULL AS BIGINT) AS from_4_as_8, event_id AS from_4_as_4, event_id >> 16 AS from_4_as_2,
+      CAST(NULL AS BIGINT) AS from_2_as_8, CAST(NULL AS BIGINT) AS from_2_as_4,
+      CASE WHEN event_id % 65536 >= 32768 THEN event_id % 65536 - 65536 ELSE event_id % 65536 END AS from_2_as_2 FROM events""",
+    "k8_coder_round_trip": f"""{_events(['view'])} SELECT rowkey, round(view, 2) AS view,
+      CAST(CAST(round(view * 100) AS BIGINT) AS VARCHAR) || ' c' AS stored, round(view, 2) AS raw_view FROM rows_ WHERE view IS NOT NULL""",
+    "e7_catalog_partitions": f"""WITH {ACCOUNTS}, {REQUESTS}
+      SELECT bp, account, level, CASE WHEN bp IN (SELECT bp FROM requests) THEN '{IBAN}' ELSE iban END AS iban,
+             CASE WHEN bp IN (SELECT bp FROM requests) THEN '{STREET}' ELSE street END AS street, CAST(CAST(account AS BIGINT) % 3 AS INTEGER) AS part
+      FROM accounts WHERE NOT (bp IN (SELECT bp FROM requests) AND bp LIKE '%7')""",
+    "e9_log_stream": MASKED_CLIENTS,
+    "e9_log_compaction": f"""WITH {ACCOUNTS}, {REQUESTS}, {UNKNOWN}
+      SELECT bp, account, level, CASE WHEN bp IN (SELECT bp FROM requests) THEN '{IBAN}' ELSE iban END AS iban,
+             CASE WHEN bp IN (SELECT bp FROM requests) THEN '{STREET}' ELSE street END AS street
+      FROM accounts WHERE NOT (bp IN (SELECT bp FROM requests) AND bp LIKE '%7')
+      UNION ALL SELECT bp, NULL, NULL, '{IBAN}', '{STREET}' FROM asked WHERE bp LIKE '%77'""",
+    "e8_lifecycle": f"""WITH {ACCOUNTS}, {REQUESTS}, {UNKNOWN}, n AS (
+        SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM asked) AS lines, (SELECT count(*) FROM customer WHERE NOT coalesce(c_acctbal < 0, false)) AS blank,
+          (SELECT count(*) FROM asked) AS new, (SELECT count(*) FROM asked WHERE bp IN (SELECT bp FROM accounts)) AS applied)
+      SELECT CAST(0 AS BIGINT) AS batch, lines, blank, new, lines - blank - new AS repeated, applied, new - applied AS unmatched FROM n
+      UNION ALL SELECT 1, lines, blank, 0, lines - blank, 0, 0 FROM n""",
+}
+ORACLES |= {
+    "j4_diff_by_digest": ORACLES["j4_diff"], "v8_map_parts": ORACLES["v8_dynamic_history"], "v9_write_parts": ORACLES["v9_write_maps"],
+    "v11_pattern_parts": ORACLES["v11_pattern"], "e9_upsert_stream": ORACLES["e3_upsert"],
 }

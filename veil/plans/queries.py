@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from veil.functions.coders import Coder, check_round_trips
+from veil.functions.codec import from_bytes
 from veil.functions.keys import build_key, first_dimension, split_key
 from veil.functions.requests import parse_requests, request_key, request_record
 from veil.functions.values import nested_text, nested_value, normalise
 from veil.operators import cells as C
 from veil.operators import predicates as P
-from veil.operators.compare import diff
+from veil.operators.compare import diff, diff_by_digest
 from veil.operators.erase import audit, erase, mask, mask_cells, match_requests
 from veil.operators.intervals import interval_intersect, interval_union
 from veil.operators.lookup import difference, first_per_key, in_key_order, lookup, preview, range_lookup, together
 from veil.plans import fixtures as X
 from veil.runtime import work_dir
-from veil.sources import tables as S
-from veil.streaming.erasure import request_stream, run_cell_stream, run_stream
+from veil.sources import partitions as PT, request_log as L, tables as S, writes as W
+from veil.streaming.erasure import request_stream, run_cell_stream, run_log_stream, run_stream
+from veil.streaming.lifecycle import read_lives, run_lifecycle_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +52,9 @@ PATTERN_SPEC = {
 COMPOSITE = [("user_id", "bigint"), ("event_type", "string")]
 
 
+T_OF = {8: T.LongType(), 4: T.IntegerType(), 2: T.ShortType()}
+
+
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
     return f
@@ -116,6 +122,16 @@ def a5_upsert_sink(spark, sf_dir):
     return C.to_rows(S.read_cells(spark, path), X.CLIENT_SPEC)
 
 
+@query
+def a5_same_ts(spark, sf_dir):
+    """Two writes of one timestamp: the later one counts, though its values are the smaller ones."""
+    path = work_dir(spark, "writes")
+    W.append_write(_clients_as_cells(spark, sf_dir, ts=1), path)
+    moved = X.clients(spark, sf_dir).filter(F.col("gender") == "F").select("bp", F.lit("- MOVED").alias("street"))
+    W.append_write(C.to_cells(moved, X.CLIENT_SPEC, ts=1), path)
+    return C.to_rows(W.read_writes(spark, path), X.CLIENT_SPEC, tie=(W.WRITE,))
+
+
 @query
 def a6_one_timestamp(spark, sf_dir):
     return _clients_as_cells(spark, sf_dir, ts=123)
@@ -128,6 +144,20 @@ def a7_create_ranges(spark, sf_dir):
     return S.read_cells(spark, path)
 
 
+@query
+def a7_compact_writes(spark, sf_dir):
+    """Events in five appends, one of them repeated with other values, merged into key ranges."""
+    path = work_dir(spark, "writes")
+    cells = X.event_cells(spark, sf_dir)
+    for i in range(5):
+        W.append_write(cells.filter(F.pmod("rowkey", F.lit(5)) == i).withColumn("value", F.col("value") + i % 2), path)
+    W.append_write(cells.filter(F.pmod("rowkey", F.lit(5)) == 3), path)
+    W.compact_writes(spark, path, ["rowkey"], 4, last=3)
+    W.compact_writes(spark, path, ["rowkey"], 8)
+    W.vacuum(spark, path)
+    return C.last_versions(W.read_writes(spark, path).drop(W.WRITE), ["rowkey"])
+
+
 @query
 def a8_rewrite_partitions(spark, sf_dir):
     path = work_dir(spark, "accounts")
@@ -283,6 +313,21 @@ def j2_range_lookup(spark, sf_dir):
     return range_lookup(orders, ranges, "o_custkey")
 
 
+@query
+def j2_wide_range(spark, sf_dir):
+    """Narrow ranges of text keys that share a long prefix, and one that covers a third of the axis."""
+    name = F.concat(F.lit("customer-of-the-house-"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"))
+    key = F.concat(F.lit("customer-of-the-house-"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
+    customers = X.table(spark, sf_dir, "customer")
+    narrow = customers.filter("c_acctbal < 0").select(name.alias("lo"), F.concat(name, F.lit("~")).alias("hi"))
+    wide = customers.agg(F.max("c_custkey").alias("n")).select(
+        F.concat(F.lit("customer-of-the-house-"), F.lpad(F.floor(F.col("n") / 3).cast("string"), 9, "0")).alias("lo"),
+        F.concat(F.lit("customer-of-the-house-"), F.lpad(F.floor(F.col("n") * 2 / 3).cast("string"), 9, "0")).alias("hi"),
+    )
+    orders = X.table(spark, sf_dir, "orders").select("o_orderkey", key.alias("client"))
+    return range_lookup(orders, narrow.unionByName(wide), "client")
+
+
 @query
 def j3_match_requests(spark, sf_dir):
     return match_requests(X.accounts(spark, sf_dir), X.requests_with_unknown(spark, sf_dir), "bp")
@@ -293,6 +338,11 @@ def j4_diff(spark, sf_dir):
     return diff(*X.customer_copies(spark, sf_dir), ["c_custkey"])
 
 
+@query
+def j4_diff_by_digest(spark, sf_dir):
+    return diff_by_digest(*X.customer_copies(spark, sf_dir), ["c_custkey"], ranges=64)
+
+
 # --- aggregation and distinct -----------------------------------------------
 
 @query
@@ -361,12 +411,31 @@ def v8_dynamic_history(spark, sf_dir):
     return named.select("rowkey", "name", F.explode("versions").alias("ts", "value"))
 
 
+@query
+def v8_map_parts(spark, sf_dir):
+    rows = C.map_parts(X.event_cells(spark, sf_dir), HISTORY_SPEC, "all", entries=1000, max_versions=3)
+    named = rows.select("rowkey", F.explode("all").alias("name", "versions"))
+    return named.select("rowkey", "name", F.explode("versions").alias("ts", "value"))
+
+
+@query
+def v9_write_parts(spark, sf_dir):
+    rows = C.map_parts(X.event_cells(spark, sf_dir), HISTORY_SPEC, "all", entries=1000, max_versions=2)
+    return C.to_cells(rows, HISTORY_SPEC, ts=0, stored="double")
+
+
 @query
 def v9_write_maps(spark, sf_dir):
     rows = C.to_rows(X.event_cells(spark, sf_dir), HISTORY_SPEC, scope="family", max_versions=2)
     return C.to_cells(rows, HISTORY_SPEC, ts=0, stored="double")
 
 
+@query
+def v11_pattern_parts(spark, sf_dir):
+    rows = C.map_parts(X.event_cells(spark, sf_dir), PATTERN_SPEC, "initial", entries=1000)
+    return rows.select("rowkey", F.explode("initial").alias("name", "value"))
+
+
 @query
 def v10_time_options(spark, sf_dir):
     cells = X.line_cells(spark, sf_dir)
@@ -452,6 +521,18 @@ def k3_decode_cells(spark, sf_dir):
     return C.decode_cells(raw, X.EVENT_SPEC).withColumn("value", F.col("value").cast("double"))
 
 
+@query
+def k3_bad_lengths(spark, sf_dir):
+    """Event numbers stored in 8, 4 and 2 bytes, read as bigint, int and smallint: short values are null, long ones cut."""
+    digits = F.lpad(F.hex(F.col("event_id")), 16, "0")
+    raw = X.table(spark, sf_dir, "events").select("event_id", *[
+        F.unhex(F.substring(digits, 17 - 2 * n, 2 * n)).alias(f"b{n}") for n in (8, 4, 2)
+    ])
+    return raw.select("event_id", *[
+        from_bytes(F.col(f"b{n}"), T_OF[w]).cast("bigint").alias(f"from_{n}_as_{w}") for n in (8, 4, 2) for w in (8, 4, 2)
+    ])
+
+
 @query
 def k4_encode_cells(spark, sf_dir):
     raw = C.encode_cells(_clients_as_cells(spark, sf_dir), X.CLIENT_SPEC)
@@ -490,6 +571,23 @@ def k8_own_decoder(spark, sf_dir):
     return _event_rows(spark, sf_dir, ["rowkey", "view"], decoders=cents)
 
 
+@query
+def k8_coder_round_trip(spark, sf_dir):
+    """Views stored as whole cents with a unit, by a coder of the column; read back through cells and raw cells."""
+    coders = {"view": Coder(
+        lambda v: F.concat(F.round(v * 100).cast("bigint").cast("string"), F.lit(" c")),
+        lambda s: F.replace(s.cast("string"), F.lit(" c")).try_cast("bigint") / 100,
+    )}
+    rows = _event_rows(spark, sf_dir, ["rowkey", "view"]).withColumn("view", F.round("view", 2))
+    check_round_trips(rows, coders)
+    cells = C.to_cells(rows, X.EVENT_SPEC, ts=1, coders=coders)
+    again = C.to_rows(cells, X.EVENT_SPEC, ["rowkey", "view"], decoders=coders)
+    typed = C.to_cells(rows, X.EVENT_SPEC, ts=1)
+    raw = C.decode_cells(C.encode_cells(typed, X.EVENT_SPEC, coders=coders), X.EVENT_SPEC, coders=coders)
+    raw = raw.select("rowkey", F.col("value").cast("double").alias("raw_view"))
+    return again.join(cells.select("rowkey", F.col("value").alias("stored")), "rowkey").join(raw, "rowkey")
+
+
 # --- erasure ----------------------------------------------------------------
 
 @query
@@ -534,6 +632,20 @@ def e7_apply_to_table(spark, sf_dir):
     return S.read_table(spark, path).drop(S.BUCKET)
 
 
+@query
+def e7_catalog_partitions(spark, sf_dir):
+    """Accounts with two partition columns of their own, as a catalog table: masked, then some deleted."""
+    name = f"accounts_{work_dir(spark, 'x').rpartition('-')[2]}"
+    accounts = X.accounts(spark, sf_dir).withColumn("part", (F.col("account").cast("bigint") % 3).cast("int"))
+    _spread = accounts.hint("rebalance", "level", "part")
+    _spread.write.partitionBy("level", "part").format("parquet").saveAsTable(name)
+    asked = X.requests_with_unknown(spark, sf_dir)
+    PT.erase_in_partitions(spark, name, asked, "bp", token="first")
+    PT.erase_in_partitions(spark, name, asked, "bp", "delete", token="first")  # the same batch again: nothing happens
+    PT.erase_in_partitions(spark, name, asked.filter(F.col("bp").endswith("7")), "bp", "delete", token="second")
+    return S.read_table(spark, name).select("bp", "account", "level", "iban", "street", "part")
+
+
 @query
 def e8_audit(spark, sf_dir):
     return audit(X.accounts(spark, sf_dir), X.requests_with_unknown(spark, sf_dir), "bp", ["iban", "street"])
@@ -555,3 +667,46 @@ def e9_cell_stream(spark, sf_dir):
     X.request_lines(spark, sf_dir).write.text(f"{base}/in")
     run_cell_stream(spark, f"{base}/in", f"{base}/cells", f"{base}/checkpoint", "bp", once=True).awaitTermination()
     return C.to_rows(S.read_cells(spark, f"{base}/cells"), X.CLIENT_SPEC)
+
+
+@query
+def e9_log_stream(spark, sf_dir):
+    """Requests in a log hold for readers of the view at once; no file of the table is rewritten."""
+    base = work_dir(spark, "log-stream")
+    S.write_bucketed(X.clients(spark, sf_dir), f"{base}/clients", "bp", 16)
+    X.request_lines(spark, sf_dir).write.text(f"{base}/in")
+    run_log_stream(spark, f"{base}/in", f"{base}/clients", f"{base}/log", f"{base}/checkpoint", "bp", once=True).awaitTermination()
+    return L.logged_view(spark, f"{base}/clients", f"{base}/log", "bp").drop(S.BUCKET)
+
+
+@query
+def e9_log_compaction(spark, sf_dir):
+    """Three batches of different kinds in a log, worked into the files together."""
+    base = work_dir(spark, "log")
+    S.write_bucketed(X.accounts(spark, sf_dir), f"{base}/accounts", "bp", 16)
+    asked = X.requests_with_unknown(spark, sf_dir)
+    L.log_batch(spark, asked, 0, f"{base}/log", "bp", "mask")
+    L.log_batch(spark, asked.filter(F.col("bp").endswith("7")), 1, f"{base}/log", "bp", "delete")
+    L.log_batch(spark, asked.filter(F.col("bp").endswith("77")), 2, f"{base}/log", "bp", "upsert")
+    L.compact_log(spark, f"{base}/accounts", f"{base}/log", "bp", order=["account"])
+    return S.read_table(spark, f"{base}/accounts").drop(S.BUCKET)
+
+
+@query
+def e9_upsert_stream(spark, sf_dir):
+    base = work_dir(spark, "upsert-stream")
+    S.write_bucketed(X.accounts(spark, sf_dir), f"{base}/accounts", "bp", 16)
+    X.requests_with_unknown(spark, sf_dir).write.text(f"{base}/in")
+    run_stream(spark, f"{base}/in", f"{base}/accounts", f"{base}/checkpoint", "bp", kind="upsert", once=True).awaitTermination()
+    return S.read_table(spark, f"{base}/accounts").drop(S.BUCKET)
+
+
+@query
+def e8_lifecycle(spark, sf_dir):
+    """Requests in two files, the second repeats the first: what became of them, by batch."""
+    base = work_dir(spark, "lifecycle")
+    S.write_bucketed(X.accounts(spark, sf_dir), f"{base}/accounts", "bp", 16)
+    for _ in range(2):
+        X.request_lines(spark, sf_dir).unionByName(X.requests_with_unknown(spark, sf_dir).select(F.col("bp").alias("value"))).coalesce(1).write.mode("append").text(f"{base}/in")
+        run_lifecycle_stream(spark, f"{base}/in", f"{base}/accounts", f"{base}/checkpoint", "bp", once=True).awaitTermination()
+    return read_lives(spark, f"{base}/checkpoint/lives")

@@ -53,6 +53,20 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the maker of its paths."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, jvm.org.apache.hadoop.fs.Path
+
+
+def remove_folder(spark: SparkSession, path: str | None) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    if path is not None:
+        fs, make = file_system(spark, path)
+        fs.delete(make(path), True)
+
+
 def _octets(field: T.StructField):
     column = F.col(f"`{field.name}`")
     kind = field.dataType

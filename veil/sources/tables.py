@@ -8,8 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from veil.operators.erase import MASKS, erase, mask, purge, request_keys
-from veil.runtime import work_dir
+from veil.operators.erase import answer, erase, purge, request_keys
+from veil.runtime import file_system, remove_folder, work_dir
 from veil.spec import CF, QUALIFIER, TS, any_of
 
 BUCKET = "bucket"
@@ -25,27 +25,13 @@ def _is_path(table: str) -> bool:
     return "/" in table
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The file system of a path, and the maker of its paths."""
-    jvm = spark.sparkContext._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, jvm.org.apache.hadoop.fs.Path
-
-
-def remove_folder(spark: SparkSession, path: str | None) -> None:
-    """Delete a folder and what is in it, if it is there."""
-    if path is not None:
-        fs, make = _file_system(spark, path)
-        fs.delete(make(path), True)
-
-
 def _write_layout(spark: SparkSession, table: str, key: str, buckets: int, schema: T.StructType) -> None:
     """Note key, bucket count and schema with the table: a hidden file, or a table property."""
     if not _is_path(table):
         text = json.dumps({"key": key, "buckets": buckets}).replace("'", "\\'")
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LAYOUT_PROPERTY}' = '{text}')")
         return
-    fs, make = _file_system(spark, table)
+    fs, make = file_system(spark, table)
     out = fs.create(make(make(table), LAYOUT_FILE), True)
     try:
         out.write(json.dumps({"key": key, "buckets": buckets, "schema": schema.jsonValue()}).encode())
@@ -58,7 +44,7 @@ def read_layout(spark: SparkSession, table: str) -> dict | None:
     if not _is_path(table):
         noted = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == LAYOUT_PROPERTY).first()
         return None if noted is None else json.loads(noted["value"])
-    fs, make = _file_system(spark, table)
+    fs, make = file_system(spark, table)
     path = make(make(table), LAYOUT_FILE)
     if not fs.exists(path):
         return None
@@ -142,7 +128,7 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str
 def _exists(spark: SparkSession, table: str) -> bool:
     if not _is_path(table):
         return spark.catalog.tableExists(table)
-    fs, make = _file_system(spark, table)
+    fs, make = file_system(spark, table)
     return fs.exists(make(table))
 
 
@@ -190,7 +176,8 @@ def touched_buckets(requests: DataFrame, key: str, buckets: int) -> list[int]:
 
 def stage_erasure(
     spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int | None = None,
-    masks: Mapping | None = None, delete: bool = False, staging: str | None = None,
+    masks: Mapping | None = None, delete: bool = False, staging: str | None = None, kind: str = "mask",
+    order: Sequence | None = None,
 ) -> tuple[str | None, list[int]]:
     """Write the new contents of all touched partitions to a staging folder.
 
@@ -198,14 +185,24 @@ def stage_erasure(
     row of them is tested to lie in the bucket of its key: a table laid out
     otherwise fails here rather than keep requested rows unseen. ``buckets`` is
     only compared with the count noted with the table. A staging folder given by
-    the caller is overwritten.
+    the caller is overwritten. ``kind`` says what the requests ask for
+    (:func:`veil.operators.erase.answer`); ``delete`` is short for the kind "delete".
     """
+    kind = "delete" if delete else kind
     buckets = _bucket_count(spark, table, key, buckets)
     touched = touched_buckets(requests, key, buckets)
     if not touched:
         return None, []
     current = read_table(spark, table, **{BUCKET: touched})
-    changed = erase(current, requests, key) if delete else mask(current, requests, key, masks or MASKS)
+    rest = [c for c in current.columns if c not in (key, BUCKET)] if order is None else order
+    changed = answer(current, requests, key, kind, masks, rest)
+    return _stage(spark, table, changed, key, buckets, staging), touched
+
+
+def _stage(spark: SparkSession, table: str, changed: DataFrame, key: str, buckets: int, staging: str | None) -> str:
+    """Write new contents of buckets to a staging folder, with a look at the bucket of every row."""
+    # Rows for unknown keys come without a bucket.
+    changed = changed.withColumn(BUCKET, F.coalesce(F.col(BUCKET), bucket_of(F.col(key), buckets)))
     misplaced = F.raise_error(F.lit(f"a row of {table} is not in the bucket of its key")).cast("int")
     right = F.col(BUCKET) == bucket_of(F.col(key), buckets)
     changed = changed.withColumn(BUCKET, F.when(right, F.col(BUCKET)).otherwise(misplaced))
@@ -215,7 +212,7 @@ def stage_erasure(
     except Exception:
         remove_folder(spark, staging)
         raise
-    return staging, touched
+    return staging
 
 
 def publish_erasure(
@@ -252,17 +249,18 @@ def drop_buckets(spark: SparkSession, table: str, buckets: Sequence[int]) -> Non
 
 def apply_to_table(
     spark: SparkSession, table: str, requests: DataFrame, key: str, buckets: int | None = None,
-    masks: Mapping | None = None, delete: bool = False,
+    masks: Mapping | None = None, delete: bool = False, kind: str = "mask", order: Sequence | None = None,
 ) -> list[int]:
-    """Erase the requested keys in a bucketed table; returns the rewritten bucket numbers.
+    """Answer the requests of one kind in a bucketed table; returns the rewritten bucket numbers.
 
     The staging copy is removed at the end. If publishing fails it is the only
     whole copy of the touched partitions; the error then names it, and
     :func:`publish_erasure` can be repeated from it.
     """
-    staging, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete)
+    kind = "delete" if delete else kind
+    staging, touched = stage_erasure(spark, table, requests, key, buckets, masks, kind=kind, order=order)
     try:
-        publish_erasure(spark, table, staging, touched, delete)
+        publish_erasure(spark, table, staging, touched, kind == "delete")
     except Exception as error:
         error.add_note(f"the staged partitions are kept in {staging}")
         raise
@@ -335,7 +333,7 @@ def publish_purge(spark: SparkSession, path: str, staging: str, files: Sequence[
     """
     if not files:
         return
-    fs, make = _file_system(spark, path)
+    fs, make = file_system(spark, path)
     if fs.exists(make(staging)):
         for status in fs.listStatus(make(staging)):
             name = status.getPath().getName()

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
@@ -22,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 from veil.functions.requests import parse_requests, request_counts
 from veil.operators.erase import PERSONAL_FAMILY, mask_entries, newer_than
 from veil.runtime import work_base
+from veil.sources.request_log import compact_log, log_batch
 from veil.sources.tables import (
     append_cells, publish_erasure, publish_purge, read_cells, remove_folder, stage_erasure, stage_purge,
 )
@@ -69,7 +70,7 @@ def _note(spark: SparkSession, path: str, **entry) -> None:
     spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append").json(_folder(path, row["batch"]))
 
 
-def _states(spark: SparkSession, path: str, batch: int) -> dict[str, Row]:
+def states(spark: SparkSession, path: str, batch: int) -> dict[str, Row]:
     """What the ledger knows of one batch, by state (at most a few rows); no other batch is read."""
     try:
         return {r["state"]: r for r in read_ledger(spark, _folder(path, batch)).collect()}
@@ -81,28 +82,39 @@ def _states(spark: SparkSession, path: str, batch: int) -> dict[str, Row]:
 
 def apply_batch(
     spark: SparkSession, lines: DataFrame, batch: int, table: str, key: str, buckets: int | None, ledger: str,
-    masks: Mapping | None = None, delete: bool = False,
+    masks: Mapping | None = None, delete: bool = False, kind: str = "mask", order: Sequence | None = None,
 ) -> None:
-    """Apply one batch of request lines to a bucketed table, exactly once."""
-    known = _states(spark, ledger, batch)
+    """Answer one batch of request lines in a bucketed table, exactly once."""
+    kind = "delete" if delete else kind
+    if "applied" in states(spark, ledger, batch):
+        remove_folder(spark, _staging(spark, ledger, batch))
+        return
+    lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total, blank = request_counts(lines).first()
+        answer_batch(spark, parse_requests(lines, key), batch, table, key, buckets, ledger, masks, kind, order, total, blank)
+    finally:
+        lines.unpersist()
+
+
+def answer_batch(
+    spark: SparkSession, requests: DataFrame, batch: int, table: str, key: str, buckets: int | None, ledger: str,
+    masks: Mapping | None, kind: str, order: Sequence | None, lines: int, blank: int,
+) -> None:
+    """Answer the requests of one batch in a bucketed table, exactly once."""
+    known = states(spark, ledger, batch)
     staging = _staging(spark, ledger, batch)
     if "applied" in known:
         remove_folder(spark, staging)
         return
     staged = known.get("staged")
     if staged is None:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            total, blank = request_counts(lines).first()
-            requests = parse_requests(lines, key)
-            used, touched = stage_erasure(spark, table, requests, key, buckets, masks, delete, staging)
-        finally:
-            lines.unpersist()
-        entry = {"batch": batch, "staging": used, "touched": touched, "lines": total, "blank": blank}
+        used, touched = stage_erasure(spark, table, requests, key, buckets, masks, staging=staging, kind=kind, order=order)
+        entry = {"batch": batch, "staging": used, "touched": touched, "lines": lines, "blank": blank}
         _note(spark, ledger, state="staged", **entry)
     else:
         entry = {k: staged[k] for k in ("batch", "staging", "touched", "lines", "blank")}
-    publish_erasure(spark, table, entry["staging"], entry["touched"], delete)
+    publish_erasure(spark, table, entry["staging"], entry["touched"], kind == "delete")
     _note(spark, ledger, state="applied", **entry)
     remove_folder(spark, entry["staging"])
 
@@ -118,7 +130,7 @@ def apply_cell_batch(
     than every version of its cell. ``delete`` removes all cells of the
     requested keys from the files that hold them.
     """
-    known = _states(spark, ledger, batch)
+    known = states(spark, ledger, batch)
     staging = _staging(spark, ledger, batch)
     if "applied" in known:
         remove_folder(spark, staging)
@@ -176,23 +188,56 @@ def run_stream(
     masks: Mapping | None = None,
     *,
     delete: bool = False,
+    kind: str = "mask",
+    order: Sequence | None = None,
     once: bool = False,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start erasing from a folder of request files, in a bucketed table.
 
+    ``kind`` says what all its requests ask for, ``delete`` is short for "delete".
+
     ``once`` handles what is there and stops; otherwise a batch starts every
     ten seconds. The checkpoint folder holds the stream's progress and the
     ledger, and must be shared and durable.
     """
     def handle(lines: DataFrame, batch: int) -> None:
         apply_batch(
-            lines.sparkSession, lines, batch, table, key, buckets, f"{checkpoint}/ledger", masks, delete
+            lines.sparkSession, lines, batch, table, key, buckets, f"{checkpoint}/ledger", masks, delete, kind, order
         )
 
     return _start(spark, request_dir, checkpoint, once, files_per_batch, handle)
 
 
+def run_log_stream(
+    spark: SparkSession,
+    request_dir: str,
+    table: str,
+    log: str,
+    checkpoint: str,
+    key: str,
+    masks: Mapping | None = None,
+    *,
+    kind: str = "mask",
+    order: Sequence | None = None,
+    compact_every: int | None = None,
+    once: bool = False,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Start writing requests to a request log, which holds for readers of :func:`logged_view` at once.
+
+    With ``compact_every`` the table's files are rewritten after every so many batches,
+    for all of them together.
+    """
+    def handle(lines: DataFrame, batch: int) -> None:
+        session = lines.sparkSession
+        log_batch(session, parse_requests(lines, key), batch, log, key, kind)
+        if compact_every and (batch + 1) % compact_every == 0:
+            compact_log(session, table, log, key, masks, order)
+
+    return _start(spark, request_dir, checkpoint, once, files_per_batch, handle)
+
+
 def run_cell_stream(
     spark: SparkSession,
     request_dir: str,

@@ -9,9 +9,9 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from veil.operators.erase import MASKS, PERSONAL_FAMILY
+from veil.operators.erase import KINDS, MASKS, PERSONAL_FAMILY
 from veil.runtime import build_session
-from veil.streaming.erasure import run_cell_stream, run_stream
+from veil.streaming.erasure import run_cell_stream, run_log_stream, run_stream
 
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -26,10 +26,16 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mask", action="append", metavar="COLUMN=TEXT", help="mask; may be repeated")
     parser.add_argument("--family", default=PERSONAL_FAMILY, help="family of the masked cells")
     parser.add_argument("--delete", action="store_true", help="delete rows or cells instead of masking them")
+    parser.add_argument("--kind", choices=sorted(KINDS), default="mask", help="what the requests ask for in a table")
+    parser.add_argument("--log", help="request log of the table: requests hold at once for readers of its view")
+    parser.add_argument("--compact-every", type=int, help="with --log: batches after which files are rewritten")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")
     args = parser.parse_args(argv)
     if args.cells and args.buckets:
         parser.error("--buckets goes with --table")
+    if args.cells and (args.log or args.kind != "mask"):
+        parser.error("--log and --kind go with --table")
+    args.kind = "delete" if args.delete else args.kind
     args.masks = dict(m.split("=", 1) for m in args.mask) if args.mask else dict(MASKS)
     return args
 
@@ -37,9 +43,12 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session("veil-erasure")
-    if args.table:
+    if args.log:
+        query = run_log_stream(spark, args.requests, args.table, args.log, args.checkpoint, args.key, args.masks,
+                               kind=args.kind, compact_every=args.compact_every, once=args.once)
+    elif args.table:
         query = run_stream(spark, args.requests, args.table, args.checkpoint, args.key, args.buckets, args.masks,
-                           delete=args.delete, once=args.once)
+                           kind=args.kind, once=args.once)
     else:
         query = run_cell_stream(spark, args.requests, args.cells, args.checkpoint, args.key, args.masks,
                                 family=args.family, delete=args.delete, once=args.once)
