@@ -14,7 +14,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veil.llm.common import stored, words
+from veil.llm.common import stored, tidy, words
 from veil.runtime import measured
 
 BLOCKS = 8
@@ -96,6 +96,7 @@ def near_prints(windows: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+@tidy
 def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, item_id, start, similarity): the best window of each item found in each document.
 
@@ -146,10 +147,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
     # Only these documents' texts are taken apart again.
     held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(measured(by_doc), "doc_id")
     held = held.select("doc_id", "windows", normal_words(F.col("text").cast("string")).alias("w"))
-    inside = held.select("doc_id", "w", F.explode("windows").alias("v")).select(
-        "doc_id", F.col("v.n_words").alias("n_words"), F.col("v.start").alias("start"),
-        F.slice("w", F.col("v.start") + 1, F.col("v.n_words")).alias("v"),
-    )
+    # Each window takes its own words along; the size keeps the words from being made anew for every one.
+    cut = lambda v: F.struct(v["n_words"].alias("n_words"), v["start"].alias("start"), F.slice("w", v["start"] + 1, v["n_words"]).alias("v"))
+    inside = held.select("doc_id", F.explode(F.when(F.size("w") > 0, F.transform("windows", cut))).alias("c")).select("doc_id", "c.*")
     inside = inside.select("doc_id", "n_words", "start", F.explode(_shingle_hashes(F.col("v"), k)).alias("shingle"))
     times = inside.groupBy(*keys, "shingle").agg(F.count(F.lit(1)).alias("times"))
     weights = measured(shingles.select("shingle", "weight").distinct())
@@ -191,5 +191,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, similarity:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; null ids stay."""
-    gone = stored(decontaminate(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    gone = decontaminate(docs, benchmark).select("doc_id").distinct()
     return docs.join(measured(gone), "doc_id", "left_anti").select(docs.columns)

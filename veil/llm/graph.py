@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from veil.llm.common import stored
+from veil.llm.common import stored, tidy
 
 
+@tidy
 def components(links: DataFrame, one: str = "id1", other: str = "id2") -> DataFrame:
     """(id, component) for every linked id; component is the smallest id reachable.
 
@@ -49,4 +50,4 @@ def components(links: DataFrame, one: str = "id1", other: str = "id2") -> DataFr
     if labels is None:
         return links.select(F.col(one).alias("id"), F.col(one).alias("component")).limit(0)
     least = labels.groupBy("at").agg(F.min("id").alias("component"))
-    return stored(labels.join(least, "at").select("id", "component"), "components")
+    return labels.join(least, "at").select("id", "component")

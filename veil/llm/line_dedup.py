@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veil.llm import setjoin as J
 from veil.llm import textscan as S
-from veil.llm.common import SPACES, stored
+from veil.llm.common import SPACES, stored, tidy
 from veil.runtime import measured
 
 LINES = "doc_id bigint, line int, n int, sig0 bigint, sig1 bigint, bit0 bigint, bit1 bigint, prefix array<bigint>"
@@ -63,11 +63,11 @@ def line_features(docs: DataFrame, k: int, percent: int, lower: bool) -> DataFra
 def _line_texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(doc_id, line, text) of the given lines (doc_id, line)."""
     wanted = lines.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    return (
-        docs.join(measured(wanted), "doc_id")
-        .select("doc_id", F.split("text", "\n").alias("all"), F.explode("lines").alias("line"))
-        .select("doc_id", "line", F.element_at("all", F.col("line") + 1).alias("text"))
-    )
+    # A text is split once. The size keeps the split a column of its own: inside the lambda it would be made for every line.
+    split = docs.join(measured(wanted), "doc_id").select("doc_id", "lines", F.split("text", "\n").alias("all"))
+    line = lambda i: F.struct(i.alias("line"), F.element_at("all", i + 1).alias("text"))
+    found = split.select("doc_id", F.explode(F.when(F.size("all") > 0, F.transform("lines", line))).alias("found"))
+    return found.select("doc_id", "found.*")
 
 
 def _matches(pairs: DataFrame, docs: DataFrame, k: int, percent: int, lower: bool) -> DataFrame:
@@ -77,6 +77,7 @@ def _matches(pairs: DataFrame, docs: DataFrame, k: int, percent: int, lower: boo
     return stored(J.verify(near, _line_texts(docs, lines), KEY, k, percent, lower), "line-matches")
 
 
+@tidy
 def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
     """(doc_id, line) of every line, counted from 0, that matches an earlier one.
 
@@ -139,7 +140,7 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", k: int = 5, percent: in
     names are replaced. Reads ``doc_id`` and the text column.
     """
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    gone = stored(repeated_lines(plain, k, percent, lower), "repeated")
+    gone = repeated_lines(plain, k, percent, lower)
     per_doc = gone.groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
     out = docs.join(measured(per_doc), "doc_id", "left")
     text = F.col(f"`{text_col}`")

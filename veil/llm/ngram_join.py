@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veil.llm import setjoin as J
 from veil.llm import textscan as S
-from veil.llm.common import stored
+from veil.llm.common import stored, tidy
 from veil.llm.graph import components
 from veil.runtime import measured
 
@@ -87,6 +87,7 @@ def _links(pairs: DataFrame, classes: DataFrame, heads: DataFrame, docs: DataFra
     return stored(J.verify(near, texts, ["id"], k, percent, lower), "links")
 
 
+@tidy
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, lower: bool = True,
 ) -> DataFrame:

@@ -3,8 +3,8 @@
 Regular expressions propose spans. Labelers (format, gazetteer, context) vote on each or
 abstain. Expectation-maximisation over the counts of vote patterns estimates how reliable
 each labeler is, without labels; its posteriors are the soft labels of a naive Bayes
-classifier over the shape of a span, its context and its votes, which decides on the spans beyond the
-base ones. Only counts of patterns and of feature values, both of fixed number, reach the driver.
+classifier over the shape of a span and the words around it, never over the votes, which decides on the spans
+beyond the base ones. Only counts of patterns and of feature values, both of fixed number, reach the driver.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from veil.llm.common import stored
+from veil.llm.common import stored, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -33,6 +33,8 @@ LOOSE = {
     "card": "(?<![0-9./])[0-9]{4}(?:[./][0-9]{4}){3}(?![0-9./])",
     "phone": "(?<![0-9+.(-])(?:\\([0-9]{3}\\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
 }
+# Access keys, which are counted but are no span of a kind.
+SECRET = "(?<![A-Z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Z0-9])"
 # Gazetteers.
 TOP_DOMAINS = "com|net|org|edu|gov|mil|int|info|biz|io|dev|app|de|fr|es|it|nl|uk|us|ca|ch|at|be|eu|au|jp|in|br|mx|pl|se|no|dk|fi|pt|ru|cn"
 CARD_ISSUERS = "^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|35|6011|65|62)"
@@ -43,7 +45,13 @@ FOR = {
     "card": "card|visa|mastercard|credit|debit|payment|account", "phone": "phone|tel|call|mobile|cell|fax|whatsapp|contact",
 }
 AGAINST = "version|section|figure|isbn|issn|order|chapter|page|part no|serial|invoice|\\bv\\.?$"
+# Toll-free and other numbers that reach no person.
+NO_PERSON = "^(?:800|833|844|855|866|877|888|900|[0-9]11)"
+# The first group of addresses that are in use or are private.
+V6_PREFIXES = "^(?:2[0-9a-f]{3}|3[0-9a-f]{3}|f[cd][0-9a-f]{2}|fe[89ab][0-9a-f]):"
 CONTEXT = 40
+#: Buckets of the word before a span, as a feature.
+WORD_BUCKETS = 32
 LABELERS = ("format", "gazetteer", "context")
 
 
@@ -96,8 +104,9 @@ def candidates(docs: DataFrame) -> DataFrame:
             )
             found.append(F.when(guard[kind], F.filter(one, lambda s: s["span"].isNotNull())).otherwise(F.array()))
     # The number is given below the explode, and the stored rows keep it.
-    rows = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", F.explode_outer(F.flatten(F.array(*found))).alias("s"))
-    rows = stored(rows.select("row", "doc_id", "s.*"), "pii-candidates")
+    secrets = F.when(text.rlike("A[KS]IA"), F.regexp_count(text, F.lit(SECRET))).otherwise(0).alias("n_secrets")
+    rows = docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", secrets, F.explode_outer(F.flatten(F.array(*found))).alias("s"))
+    rows = stored(rows.select("row", "doc_id", "n_secrets", "s.*"), "pii-candidates")
     up_to = Window.partitionBy("row", "kind", "loose").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("span")).over(up_to)
     return rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("span")).drop("k", "gap")
@@ -107,15 +116,21 @@ def votes(rows: DataFrame) -> DataFrame:
     """``rows`` with a vote (1, -1 or 0 for none) of each labeler."""
     kind, span, before = F.col("kind"), F.col("span"), F.col("before")
     digits = _digits(span)
+    # Loose forms: one way to write at and dot, hexadecimal groups that aren't a clock or a hardware address, an area
+    # and an exchange that exist.
+    spelled = F.when(F.size(F.array_distinct(F.regexp_extract_all(F.lower(span), F.lit("[(\\[{](?=at|dot)"), 0))) == 1, 1).otherwise(-1)
+    grouped = F.when(span.rlike("(?i)^[0-9a-f]{2}(?::[0-9a-f]{2})+$") | ~span.rlike("(?i)[a-f]"), -1).otherwise(1)
+    numbered = F.when(digits.rlike("^[2-9][0-8][0-9][2-9][0-9]{6}$"), 1).otherwise(-1)
     form = F.when(~F.col("loose"), F.when(valid(kind, span), 1).otherwise(-1)).otherwise(
-        F.when(kind == "card", F.when(luhn(digits), 1).otherwise(-1)).otherwise(0)
+        F.when(kind == "card", F.when(luhn(digits), 1).otherwise(-1)).when(kind == "email", spelled).when(kind == "ip", grouped).otherwise(numbered)
     )
     known = (
         F.when(kind == "email", F.when(F.lower(span).rlike(f"(?:\\.|dot[)\\]] ?)(?:{TOP_DOMAINS})$"), 1).otherwise(-1))
         .when((kind == "ip") & ~F.col("loose"), F.when(span.rlike("^0*(?:0|127|22[4-9]|2[34][0-9]|25[0-5])\\."), -1).otherwise(1))
+        .when(kind == "ip", F.when(F.lower(span).rlike(V6_PREFIXES), 1).otherwise(-1))
         .when(kind == "card", F.when(digits.rlike(CARD_ISSUERS), 1).otherwise(-1))
         .when((kind == "phone") & ~F.col("loose"), F.when(span.rlike(COUNTRY_CODES), 1).otherwise(-1))
-        .otherwise(0)
+        .otherwise(F.when(digits.rlike(NO_PERSON), -1).otherwise(1))
     )
     near = F.lower(before)
     speaks = F.lit(False)
@@ -163,53 +178,80 @@ def estimate(counts: dict[tuple[int, ...], int], rounds: int = 50) -> Reliabilit
 
 
 def features(rows: DataFrame) -> Column:
-    """What the classifier sees of a span: its shape, and the votes; text values, a fixed number of each."""
+    """What the classifier sees of a span: its shape and what stands before it; text values, a fixed number of each.
+
+    The votes are none of them: the classifier is to learn what spans look like, also where no labeler had a word.
+    """
     span = F.col("span")
+    near = F.lower(F.col("before"))
+    last = F.regexp_extract(near, "([\\p{L}]+)[^\\p{L}]*$", 1)
+    touching = F.right(F.col("before"), F.lit(1))
+    spoken = F.lit("none")
+    for name, pattern in FOR.items():
+        spoken = F.when((F.col("kind") == name) & near.rlike(pattern), "for").otherwise(spoken)
     capped = lambda c, most: F.least(c, F.lit(most)).cast("string")
     digits = F.length(_digits(span))
+    tail = F.lower(F.regexp_extract(span, "([A-Za-z0-9]+)[^A-Za-z0-9]*$", 1))
+    first = F.regexp_extract(span, "^[^A-Za-z0-9]*([A-Za-z0-9]+)", 1)
     return F.array(
         F.concat(F.lit("length="), capped(F.floor(F.length(span) / 4), 12)),
         F.concat(F.lit("digits="), capped(F.floor(digits * 10 / F.greatest(F.length(span), F.lit(1))), 10)),
         F.concat(F.lit("marks="), capped(F.length(F.regexp_replace(span, "[A-Za-z0-9]", "")), 8)),
         F.concat(F.lit("groups="), capped(F.size(F.split(span, "[^A-Za-z0-9]+")), 8)),
-        *(F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in LABELERS),
+        F.concat(F.lit("edge="), F.when(touching == "", "none").when(touching.rlike("\\p{L}"), "letter").when(touching.rlike("[0-9]"), "digit")
+                 .when(touching.rlike("[:=]"), "colon").when(touching.rlike("\\s"), "space").otherwise("mark")),
+        F.concat(F.lit("spoken="), F.when(near.rlike(AGAINST), "against").otherwise(spoken)),
+        F.concat(F.lit("word="), F.when(last == "", "none").otherwise(F.pmod(F.xxhash64(last), F.lit(WORD_BUCKETS)).cast("string"))),
+        F.concat(F.lit("head="), F.regexp_replace(F.substring(span, 1, 1), "[A-Za-z]", "a")),
+        F.concat(F.lit("sum="), F.when(digits >= 12, luhn(_digits(span)).cast("string")).otherwise("none")),
+        F.concat(F.lit("tail="), F.when(tail.rlike("^[0-9]*$"), "digits").otherwise(F.pmod(F.xxhash64(tail), F.lit(WORD_BUCKETS)).cast("string"))),
+        F.concat(F.lit("first="), F.when(first.rlike("^[0-9]+$"), F.substring(first, 1, 1)).when(first.rlike("^[0-9a-fA-F]+$"), "hex").otherwise("word")),
+        F.concat(F.lit("letters="), span.rlike("[A-Za-z]").cast("string")),
     )
 
 
 def classify(rows: DataFrame) -> DataFrame:
-    """``rows`` (candidates with votes) with ``probability``, by a classifier trained on all of them."""
-    counted = rows.where("kind is not null").groupBy("kind", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()  # 27 patterns a kind
+    """``rows`` (candidates with votes) with ``probability``, by classifiers trained on all of them.
+
+    A kind's base and looser forms have reliabilities and a classifier of their own: what a labeler is worth on runs of
+    digits says little about what it is worth on a number written with dots.
+    """
+    given = rows.columns
+    rows = rows.withColumn("form", F.concat("kind", F.when(F.col("loose"), "~").otherwise("")))
+    counted = rows.where("kind is not null").groupBy("form", *LABELERS).agg(F.count(F.lit(1)).alias("n")).collect()  # 27 patterns a form
+    forms = [kind + mark for kind in KINDS for mark in ("", "~")]
     belief = {}
-    for kind in KINDS:
-        counts = {tuple(r[x] for x in LABELERS): r["n"] for r in counted if r["kind"] == kind}
+    for kind in forms:
+        counts = {tuple(r[x] for x in LABELERS): r["n"] for r in counted if r["form"] == kind}
         model = estimate(counts)
         belief |= {(kind, p): model.posterior(p) for p in counts}
     table = lambda entries: F.create_map(*(F.lit(x) for e in entries.items() for x in e)) if entries else F.create_map(F.lit(""), F.lit(0.0))
     key = lambda kind, pattern: ",".join([kind, *map(str, pattern)])
-    soft = F.element_at(table({key(k, p): v for (k, p), v in belief.items()}), F.concat_ws(",", "kind", *LABELERS))
+    soft = F.element_at(table({key(k, p): v for (k, p), v in belief.items()}), F.concat_ws(",", "form", *LABELERS))
     rows = rows.withColumn("features", features(rows))
     seen = (
-        rows.where("kind is not null").select("kind", soft.alias("p"), F.explode("features").alias("feature"))
-        .groupBy("kind", "feature").agg(F.sum("p").alias("yes"), F.sum(F.lit(1.0) - F.col("p")).alias("no")).collect()
-    )  # some dozens of values a kind
+        rows.where("kind is not null").select("form", soft.alias("p"), F.explode("features").alias("feature"))
+        .groupBy("form", "feature").agg(F.sum("p").alias("yes"), F.sum(F.lit(1.0) - F.col("p")).alias("no")).collect()
+    )  # some hundreds of values a form
     weight, start = {}, {}
-    for kind in KINDS:
-        mine = [r for r in seen if r["kind"] == kind]
-        base = [r for r in mine if r["feature"].startswith("format=")]
+    for kind in forms:
+        mine = [r for r in seen if r["form"] == kind]
+        base = [r for r in mine if r["feature"].startswith("edge=")]
         yes, no = sum(r["yes"] for r in base), sum(r["no"] for r in base)
         start[kind] = math.log((yes + 1) / (no + 1))
         for r in mine:
             weight[f"{kind},{r['feature']}"] = math.log(((r["yes"] + 1) / (yes + 20)) / ((r["no"] + 1) / (no + 20)))
     odds = F.aggregate(
-        F.transform("features", lambda f: F.coalesce(F.element_at(table(weight), F.concat_ws(",", F.col("kind"), f)), F.lit(0.0))),
-        F.element_at(table(start), F.col("kind")), lambda a, x: a + x,
+        F.transform("features", lambda f: F.coalesce(F.element_at(table(weight), F.concat_ws(",", F.col("form"), f)), F.lit(0.0))),
+        F.element_at(table(start), F.col("form")), lambda a, x: a + x,
     )
-    return rows.withColumn("probability", F.when(F.col("kind").isNotNull(), F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)))).drop("features")
+    return rows.withColumn("probability", F.when(F.col("kind").isNotNull(), F.lit(1.0) / (F.lit(1.0) + F.exp(-odds)))).select(*given, "probability")
 
 
+@tidy
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(row, doc_id, kind, start, end, base, probability) of every span found; a document without any has one row of nulls,
-    and so have all others beside their spans.
+    """(row, doc_id, kind, start, end, base, probability, n_secrets) of every span found; a document without any has one row of nulls,
+    and so have all others beside their spans, with the number of access keys.
 
     Base spans always stay; a looser one is added when its probability reaches ``threshold``, no base
     span overlaps it and no earlier looser one does. Offsets are code points, end exclusive. Null and
@@ -231,13 +273,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     names = ["row", "doc_id", "kind", "start", "end", "base", "probability"]
     spans = rows.withColumn("clear", clear).where("base or clear").select(*names)
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("kind", "string"), ("start", "bigint"), ("end", "bigint"), ("base", "boolean"), ("probability", "double"))]
-    return spans.union(whole.select("row", "doc_id").distinct().select("row", "doc_id", *nothing))
+    documents = whole.select("row", "doc_id", "n_secrets").distinct().select("row", "doc_id", *nothing, "n_secrets")
+    return spans.withColumn("n_secrets", F.lit(0)).union(documents)
 
 
 def pii_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added), one row for each row of ``docs``; see ``find_pii``.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans, n_secrets, personal), one row for each row of ``docs``; see ``find_pii``.
 
-    The counts and the digest are of base spans, ``spans`` holds all of them.
+    The counts by kind and the digest are of base spans, ``spans`` holds all of them. ``personal``: the document has a span or an access key.
     """
     found = find_pii(docs, id_col, text_col)
     place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
@@ -245,8 +288,11 @@ def pii_by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: s["name"]), ",")
     grouped = found.groupBy("row", "doc_id").agg(
         *(F.count_if((F.col("kind") == k) & F.col("base")).alias(f"n_{k}") for k in KINDS), F.sort_array(F.collect_list(one)).alias("s"),
+        F.sum("n_secrets").cast("bigint").alias("n_secrets"),
     )
+    n_spans = F.size("s").cast("bigint")
     return grouped.select(
         "doc_id", *(f"n_{k}" for k in KINDS), F.sha2(joined(F.filter("s", lambda s: s["base"])), 256).alias("base_sha256"),
         joined(F.col("s")).alias("spans"), F.size(F.filter("s", lambda s: ~s["base"])).cast("bigint").alias("n_added"),
+        n_spans.alias("n_spans"), "n_secrets", ((n_spans > 0) | (F.col("n_secrets") > 0)).alias("personal"),
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veil.llm import chat, decontaminate, langid, line_dedup, mix, ngram_join, pii, quality_rules, repair, topk, trie, url_filter, warc
-from veil.llm.common import table
-from veil.runtime import work_dir
+from veil.llm.common import scratch_dir, table
 
 #: Allow and block rules of op8.
 RULES = (
@@ -42,7 +41,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_dir(spark, "warc")
+    path = scratch_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

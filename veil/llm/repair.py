@@ -21,7 +21,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veil.llm.common import SPACES, stored
+from veil.llm.common import SPACES, stored, tidy
 
 #: Positions of one block.
 BLOCK_BITS = 10
@@ -323,6 +323,7 @@ def repair(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return parts.repartition("conv_id").sortWithinPartitions(by_id, "pos", "kind").mapInArrow(_repaired, REPAIRED)
 
 
+@tidy
 def repair_conversations(turns: DataFrame, damaged: bool = False) -> DataFrame:
     """``repair`` of a table (conv_id, turn, role, text); ``damaged`` says that it shall not be damaged first."""
     if damaged:

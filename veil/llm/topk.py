@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from veil.runtime import work_dir
+from veil.llm.common import scratch_dir, tidy
 
 #: Lists that the components are dealt to.
 LISTS = 2
@@ -203,7 +203,7 @@ def search_batch(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int,
 def query_batches(queries: DataFrame, rows_of_batch: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, scaled vectors) of ``queries``, batch by batch, from files of at most so many rows."""
     spark = queries.sparkSession
-    path = work_dir(spark, "topk-queries")
+    path = scratch_dir(spark, "topk-queries")
     total, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     if not total:
         return
@@ -215,6 +215,7 @@ def query_batches(queries: DataFrame, rows_of_batch: int) -> Iterator[tuple[np.n
             yield batch.column("vec_id").to_numpy(), scaled(batch.column("vector"), max(1, width))
 
 
+@tidy
 def exact_top_k(
     vectors: DataFrame, every: int, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", lists: int = LISTS, rows_of_batch: int = BATCH_ROWS,
 ) -> DataFrame:
@@ -229,7 +230,7 @@ def exact_top_k(
     """
     spark: SparkSession = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
-    path = work_dir(spark, "topk")
+    path = scratch_dir(spark, "topk")
     result = "query_id bigint, rank int, vec_id bigint, score bigint"
     spark.createDataFrame([], result).write.parquet(path)
     for ids, queries in query_batches(rows.where(F.col("vec_id") % every == 0), rows_of_batch):

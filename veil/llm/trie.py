@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from veil.llm.common import stored
+from veil.llm.common import stored, tidy
 from veil.runtime import measured
 
 #: A subtree of over one of so many parts of all turn rows is cut further down. There are at most so many
@@ -295,6 +295,7 @@ def ends_of(paths: DataFrame) -> DataFrame:
     return pieces.repartition("node").sortWithinPartitions("node", "first").mapInArrow(_ends, "node binary, ends_sha256 string")
 
 
+@tidy
 def prefix_trie(turns: DataFrame, parts: int = PARTS, limit: int = QUEUE_ROWS) -> DataFrame:
     """A row for each node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veil.llm.common import stored
+from veil.llm.common import stored, tidy
 from veil.runtime import measured
 
 DAMPING = 0.85
@@ -57,10 +57,10 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst, n): absolute links of the html between hosts, and a link each way between a host and the host it is part of.
+    """(src, dst, n): absolute links of the html between hosts, and a link each way between a host and the domain it is part of.
 
-    Relative links stay on their host and tell nothing of others. One row for each pair of hosts,
-    summed before and after the shuffle.
+    Domains are nodes whether they have pages or not, up to the top one, so hosts of one domain meet there. Relative
+    links stay on their host and tell nothing of others. One row for each pair, summed before and after the shuffle.
     """
     target = F.explode(F.regexp_extract_all("html", F.lit("(?i)href\\s*+=\\s*+[\"']?+((?:https?:)?+//[^\"'\\s>]++)"), 1))
     linked = pages.where(F.col("html").contains("//")).select(F.col("host").alias("src"), target.alias("to"))
@@ -68,8 +68,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
     links = linked.select("src", host_of(absolute).alias("dst")).where("src <> '' and dst <> '' and src <> dst")
     links = links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
     hosts = pages.select("host").where("host <> ''").distinct()
-    inner = hosts.select(F.col("host").alias("src"), F.substr("host", F.instr("host", ".") + 1).alias("dst")).where("instr(src, '.') > 0")
-    inner = inner.join(hosts.withColumnRenamed("host", "dst"), "dst", "left_semi").select("src", "dst", F.lit(1).cast("bigint").alias("n"))
+    # A host's labels give the chain of its domains; those of several hosts fall together.
+    labels = F.filter(F.split("host", "\\."), lambda x: x != "")
+    chain = F.transform(F.sequence(F.lit(1), F.size("labels")), lambda i: F.array_join(F.slice("labels", i, F.size("labels")), "."))
+    chains = hosts.select("host", labels.alias("labels")).where(F.size("labels") > 0).select("host", chain.alias("chain"))
+    chains = chains.select(F.concat(F.array("host"), F.filter("chain", lambda x: x != F.col("host"))).alias("chain"))
+    steps = F.transform(F.slice("chain", 1, F.size("chain") - 1), lambda x, i: F.struct(x.alias("src"), F.element_at("chain", i + 2).alias("dst")))
+    inner = chains.where(F.size("chain") > 1).select(F.explode(steps).alias("s")).select("s.*").distinct()
+    inner = inner.select("src", "dst", F.lit(1).cast("bigint").alias("n"))
     both = inner.union(inner.select("dst", "src", "n"))
     return links.union(both).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
@@ -92,6 +98,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     return scores
 
 
+@tidy
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], rounds: int = ROUNDS) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row for each row of ``pages`` (page_id, url, html).
 
