@@ -111,3 +111,13 @@ def test_components(spark):
     got = {r.id: r.component for r in components(frame).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 300)}, 400: 400, 401: 400}
     assert components(frame.limit(0)).count() == 0
+
+
+def test_mix_carries_columns_of_any_name(spark):
+    from veil.llm import mix
+
+    rows = [(i, "ab"[i % 2] if i else None, f"w {'x ' * (i % 5)}", i, i, i, i, "t") for i in range(40)] + [(3, "b", "w " * 300_000, 0, 0, 0, 0, "t")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string, key int, piece int, offset int, rows int, target string")
+    out = mix.mix_sources(docs, mix.word_count(F.col("text")), carry=["key", "piece", "offset", "rows", "target", "text"]).collect()
+    assert len(out) == 41 and all(r.key == r.piece == r.offset == r.rows for r in out)
+    assert {(r.doc_id, r.taken) for r in out} == {(r.doc_id, r.taken) for r in mix.mix_sources(docs, mix.word_count(F.col("text"))).collect()}

@@ -133,7 +133,8 @@ def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool =
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text", k: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
-    """``docs`` with repeated lines taken out of the text: ``n_lines``, ``n_blank`` of them without a word, ``n_removed``.
+    """``docs`` with repeated lines taken out of the text: ``n_lines``, ``n_blank`` of them without a word, ``n_removed``, and
+    ``chars_removed``, the characters of those.
 
     See ``repeated_lines`` for what goes. Kept lines stay in order, joined by line breaks; a
     text that loses all lines becomes empty; null texts stay null. Columns with these
@@ -152,6 +153,8 @@ def dedup_lines(docs: DataFrame, text_col: str = "text", k: int = 5, percent: in
         out.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size("_lines")).cast("bigint"))
         .withColumn("n_blank", F.when(text.isNull(), 0).otherwise(F.size(F.filter("_lines", lambda x: F.trim(x, F.lit(SPACES)) == ""))).cast("bigint"))
         .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"))
-        .withColumn(text_col, F.when(F.col("_gone").isNull() | text.isNull(), text).otherwise(rest))
-        .drop("_gone", "_lines")
+        .withColumn("_rest", F.when(F.col("_gone").isNull() | text.isNull(), text).otherwise(rest))
+        .withColumn("chars_removed", F.coalesce(F.length(text) - F.length("_rest"), F.lit(0)).cast("bigint"))
+        .withColumn(text_col, F.col("_rest"))
+        .drop("_gone", "_lines", "_rest")
     )

@@ -62,11 +62,14 @@ def mix_sources(
     in full, the last epoch holds the first documents by key and cuts the one that crosses the
     budget, so a source's taken words sum to its target rounded down. Null source is a source of its
     own; null size counts as 0; an empty table gives an empty result; rows that repeat an id
-    have one key and are told apart by size. Reruns agree. Sources without words take nothing.
+    have one key and are told apart by size. Reruns agree. Sources without words take nothing. Texts may be of any length; columns in ``carry`` may have any
+    name but those of the result, which win.
     """
+    names = ("doc_id", "source", "size", "source_size", "target", "taken")
+    carry = [c for c in carry if c not in names]
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-        F.coalesce(size, F.lit(0)).cast("bigint").alias("size"), *(c for c in carry if c not in ("doc_id", "source", "size")),
+        F.coalesce(size, F.lit(0)).cast("bigint").alias("size"), *([F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carried")] if carry else []),
     )
     rows = rows.withColumn("key", F.xxhash64(F.lit(seed), F.col("doc_id")))
     totals = rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("source_size"))
@@ -87,5 +90,5 @@ def mix_sources(
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("offset") - F.col("ahead")))
     return rows.select(
         "doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + last).cast("bigint").alias("taken"),
-        *(c for c in carry if c not in ("doc_id", "source", "size", "source_size", "target", "taken")),
+        *(F.col(f"carried.`{c}`").alias(c) for c in carry),
     )
