@@ -330,3 +330,26 @@ def test_repeated_timestamps_are_one_version(spark):
         assert sorted((r["ts"], r["value"]) for r in got.collect()) == sorted(want)
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_keys_come_in_the_types_of_the_spec(spark):
+    cells = spark.createDataFrame([("7", "f", "a", 1, "x")], "k string, cf string, qualifier string, ts bigint, value string")
+    spec = {"key": [("k", "bigint")], "columns": {"a": {"cf": "f", "col": "a", "type": "string"}}}
+    assert C.to_rows(cells, spec).schema.simpleString() == "struct<k:bigint,a:string>"
+    assert C.to_rows(cells, spec, merge_to_latest=False).schema["k"].dataType.simpleString() == "bigint"
+
+
+def test_a_hot_cell_is_ranked_in_slices_where_partitions_are_many(spark, monkeypatch):
+    cells = spark.range(5000).select(F.lit("k").alias("k"), F.lit("f").alias("cf"), F.lit("q").alias("qualifier"), F.col("id").alias("ts"), F.col("id").cast("string").alias("value")).repartition(7)
+    plain = rows(C.last_versions(cells, ["k"], 3))
+    monkeypatch.setattr(C, "ROWS_OF_A_CELL", 10)
+    assert C._slices(cells, 3) and rows(C.last_versions(cells, ["k"], 3)) == plain == [("k", "f", "q", t, str(t)) for t in (4997, 4998, 4999)]
+
+
+def test_types_that_cells_can_be_taken_for(spark):
+    values = {"b": ["true", "false", None], "i": ["1", "-5", "+7"], "d": ["1", "2.5", "1e9"], "big": ["1", "99999999999999999999"], "s": ["true", "1"], "t": ["", "1"], "none": [None], "w": [" 1"]}
+    data = [(f"k{i}", "f", q, 1, v) for q, vs in values.items() for i, v in enumerate(vs)] + [("k0", "f", "i", 2, "3"), (None, "f", "i", 2, "3")]
+    found = C.discover_schema(spark.createDataFrame(data, "k string, cf string, qualifier string, ts bigint, value string"), ["k"])
+    assert {r.qualifier: (r.cells, r.rows, r.type) for r in found.collect()} == {
+        "b": (3, 3, "boolean"), "i": (5, 3, "bigint"), "d": (3, 3, "double"), "big": (2, 2, "double"), "s": (2, 2, "string"), "t": (2, 2, "string"),
+        "none": (1, 1, "string"), "w": (1, 1, "string")}

@@ -213,3 +213,13 @@ def test_a_wide_range_makes_no_part_large(spark, numbers):
     per_part = starts.join(cuts, "g").groupBy(not_above(F.col("cuts"), F.col("steps"), F.col("t")).alias("part")).count()
     sizes = [r["count"] for r in per_part.collect()]
     assert 80 <= len(sizes) <= 120 and max(sizes) <= 200
+
+
+def test_every_column_breaks_ties(spark):
+    schema = "k int, m map<string,int>, s struct<a:int,b:array<int>>, l array<string>, n map<string,map<string,int>>"
+    data = [(1, {"b": 1, "a": 2}, (1, [2]), ["x"], None), (1, {"a": 2}, (1, [2]), ["x"], None), (1, None, (1, [1]), ["y"], {"q": {"r": 1}}), (1, None, (1, [1]), ["y"], {"q": {"r": 0}})]
+    results = set()
+    for turn in range(4):
+        frame = spark.createDataFrame(data[turn:] + data[:turn], schema).repartition(3)
+        results.add(repr([r.asDict(True) for r in in_key_order(frame, "k").collect()]))
+    assert len(results) == 1

@@ -369,3 +369,11 @@ def test_a_mask_is_newer_than_any_version(spark, tmp_path):
     lines = spark.createDataFrame([("1",)], "value string")
     E.apply_cell_batch(spark, lines, 0, path, "bp", str(tmp_path / "ledger"), ts=far)
     assert rows(C.to_rows(S.read_cells(spark, path), CELL_SPEC)) == [("1", MASKS["iban"], MASKS["street"])]
+
+
+def test_snapshots_give_every_text_back(spark, tmp_path):
+    texts = ["plain", "two\nlines", 'a "quoted" word', "comma, here", " blanks ", "back\\slash", "\\", '"', '\\"', "tab\there", None, "ünï", "'", "a\n\n\"b\",\\\n"]
+    df = spark.createDataFrame([(i, t, None if i % 2 else 1.5) for i, t in enumerate(texts)], "id int, text string, x double")
+    for header in (False, True):
+        S.export_csv(df.repartition(3), str(tmp_path / "csv"), header)
+        assert rows(S.read_csv(spark, str(tmp_path / "csv"), df.schema, header)) == rows(df)

@@ -13,6 +13,7 @@ known to hold, ``tie=()`` lets fixed-width columns use hash aggregation.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -28,6 +29,8 @@ from veil.spec import (
 )
 
 SLICES = 4096
+#: Rows of one cell that may come together in a task when each input partition keeps its newest ones.
+ROWS_OF_A_CELL = 1_000_000
 MAP_PART = "map_part"
 
 
@@ -91,9 +94,10 @@ def last_versions(
 
     ``n = 1`` is an aggregate with map-side combine. For small ``n`` Spark
     prunes every input partition to ``n`` rows per cell before the shuffle
-    (window group limit). Beyond that limit the rows of a cell are first
-    ranked in slices that follow the input partitions, so that a cell holding
-    a large share of the table is never sorted in one task as a whole.
+    (window group limit). Beyond that limit, or where there are so many input
+    partitions that their rows add up, the rows of a cell are first ranked in
+    slices that follow the input partitions, so that a cell holding a large
+    share of the table is never sorted in one task as a whole.
     """
     if n is None:
         return cells
@@ -105,10 +109,11 @@ def last_versions(
         newest = cells.groupBy(*cell).agg(F.max_by(F.struct(*rest), _age(tie)).alias("_c"))
         return newest.select(*cell, "_c.*").select(*cells.columns)
     pruned = cells
-    if n > int(cells.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+    n_slices = _slices(cells, n)
+    if n_slices:
         slices = Window.partitionBy(*cell, "_slice").orderBy(F.desc(TS))
         pruned = (
-            cells.withColumn("_slice", F.spark_partition_id() % SLICES)
+            cells.withColumn("_slice", F.spark_partition_id() % n_slices)
             .withColumn("_rank", F.dense_rank().over(slices))
             .filter(F.col("_rank") <= n)
             .drop("_slice", "_rank")
@@ -121,6 +126,17 @@ def last_versions(
     return kept.withColumn("_newer", newer).filter(~F.col("_newer").eqNullSafe(F.struct(TS))).drop("_newer")
 
 
+def _slices(cells: DataFrame, n: int) -> int | None:
+    """Slices to rank the newest ``n`` versions in first; none if the pruned rows of a cell fit into a task anyway."""
+    conf = cells.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        return SLICES
+    size = int(str(cells._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    share = cells.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    partitions = max(size // share, int(conf.get("spark.sql.shuffle.partitions")))
+    return min(SLICES, math.isqrt(partitions) + 1) if partitions * n > ROWS_OF_A_CELL else None
+
+
 def compact(cells: DataFrame, keys: Sequence[str], tie: Sequence[str] = (VALUE,), n: int | None = None) -> DataFrame:
     """One row per (key, family, qualifier, timestamp), optionally only the newest ``n`` versions."""
     cell = [*keys, CF, QUALIFIER, TS]
@@ -154,6 +170,12 @@ def scope_filter(spec: CellSpec, columns: Sequence[CellColumn], scope: str) -> C
     ])
 
 
+def _typed_keys(cells: DataFrame, spec: CellSpec) -> DataFrame:
+    """Cells with their keys in the types that the spec declares."""
+    other = {k.name: F.col(f"`{k.name}`").cast(k.type) for k in spec.keys if cells.schema[k.name].dataType != k.type}
+    return cells.withColumns(other) if other else cells
+
+
 def _split_projection(spec: CellSpec, columns: Sequence[str] | None):
     names = list(columns) if columns is not None else spec.names
     return names, [spec.column(n) for n in names if n not in spec.key_names]
@@ -211,6 +233,7 @@ def to_rows(
     rows, numbered by ``map_part``, whose maps add up to the whole.
     """
     spec = cell_spec(spec)
+    cells = _typed_keys(cells, spec)
     check_time_options(timestamp, min_ts, max_ts)
     if not merge_to_latest:
         return flatten_versions(
@@ -334,6 +357,7 @@ def flatten_versions(
     Without ``keep_ts`` the timestamp is left out and equal rows collapse.
     """
     spec = cell_spec(spec)
+    cells = _typed_keys(cells, spec)
     check_time_options(timestamp, min_ts, max_ts)
     names, wanted = _split_projection(spec, columns)
     if any(c.is_dynamic or isinstance(c.type, T.MapType) for c in wanted):
@@ -364,6 +388,7 @@ def series(cells: DataFrame, spec, name: str, *, timestamp=None, min_ts=None, ma
            max_versions: int | None = 1, tie: Sequence[str] = (VALUE,)) -> DataFrame:
     """Long form of a series or dynamic column: one row per map entry, nothing collected per key."""
     spec = cell_spec(spec)
+    cells = _typed_keys(cells, spec)
     c = spec.column(name)
     scoped = in_time(cells.filter(spec.match(c)), timestamp, min_ts, max_ts)
     kept = last_versions(scoped, spec.key_names, max_versions if c.is_series else 1, tie)
@@ -388,6 +413,7 @@ def map_entries(
     c = spec.column(name)
     if not c.is_dynamic:
         raise ValueError(f"column {name!r} has no entries by qualifier")
+    cells = _typed_keys(cells, spec)
     keys, decode = spec.key_names, _Decoder(cells, None)
     scoped = in_time(cells.filter(spec.match(c)), timestamp, min_ts, max_ts)
     if c.is_series:
@@ -444,23 +470,26 @@ TYPE_PATTERNS = {
 def discover_schema(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What an unknown cell table holds: cells, rows and the narrowest fitting type per column.
 
-    The distinct count first groups by (family, qualifier, key), so one huge
-    column or key is spread over all tasks.
+    Cells are first brought together by (family, qualifier, key), so one huge
+    column or key is spread over all tasks, and no distinct count is needed.
     """
     stored = cells.schema[VALUE].dataType
+    value = F.col(VALUE)
     if isinstance(stored, T.StringType):
-        fits = {name: F.bool_and(F.col(VALUE).rlike(p)) for name, p in TYPE_PATTERNS.items()}
-        # Whole numbers beyond the type's range are not taken for it.
-        fits["bigint"] &= F.bool_and(F.col(VALUE).try_cast("bigint").isNotNull())
-        kind = F.lit("string")
-        for name in reversed(list(fits)):
-            kind = F.when(fits[name], name).otherwise(kind)
+        # The narrowest type of each cell, by number; whole numbers beyond the type's range are not taken for it.
+        whole = value.rlike(TYPE_PATTERNS["bigint"]) & value.try_cast("bigint").isNotNull()
+        narrow = F.when(value.rlike(TYPE_PATTERNS["boolean"]), 0).when(whole, 1).when(value.rlike(TYPE_PATTERNS["double"]), 2).otherwise(3)
+        low, high = F.min("low"), F.max("high")
+        kind = (
+            F.when(high == 0, "boolean").when((low >= 1) & (high == 1), "bigint").when((low >= 1) & (high == 2), "double")
+            .otherwise("string")
+        )
     else:
-        kind = F.lit(stored.simpleString())
-    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-    return cells.groupBy(CF, QUALIFIER).agg(
-        F.count(F.lit(1)).alias("cells"), F.count_distinct(key).alias("rows"), kind.alias("type")
-    )
+        narrow, kind = F.lit(None).cast("int"), F.lit(stored.simpleString())
+    narrow = F.when(value.isNotNull(), narrow)
+    per_row = cells.groupBy(CF, QUALIFIER, *keys).agg(F.count(F.lit(1)).alias("n"), F.min(narrow).alias("low"), F.max(narrow).alias("high"))
+    rows = F.count(F.col(keys[0]) if len(keys) == 1 else F.lit(1))
+    return per_row.groupBy(CF, QUALIFIER).agg(F.sum("n").alias("cells"), rows.alias("rows"), kind.alias("type"))
 
 
 # --- writing ----------------------------------------------------------------

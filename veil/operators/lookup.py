@@ -113,16 +113,31 @@ def range_lookup(df: DataFrame, ranges: DataFrame | Iterable[tuple], key: str) -
 def in_key_order(df: DataFrame, *keys: str) -> DataFrame:
     """Rows in key order (bytes compare unsigned).
 
-    The remaining sortable columns break ties, so the order is fixed and a key
-    with very many rows can be split over several sorted partitions.
+    All remaining columns break ties, so the order is fixed and a key with very
+    many rows can be split over several sorted partitions. Maps, which have no
+    order, count by their sorted entries.
     """
-    rest = [
-        f.name for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType, T.VariantType))
-    ]
+    rest = [_ordered(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields if f.name not in keys]
     return df.orderBy(*keys, *rest)
 
 
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _ordered(c: Column, kind: T.DataType) -> Column:
+    """A form of a value that can be sorted by."""
+    if _has_order(kind):
+        return c
+    if isinstance(kind, T.MapType) and _has_order(kind.valueType):
+        return F.array_sort(F.map_entries(c))
+    return F.to_json(F.struct(c))
+
+
 def preview(df: DataFrame, n: int, *order_by: str) -> DataFrame:
     """The first ``n`` rows in a fixed order (a top-n, not a full sort)."""
     return in_key_order(df, *order_by).limit(n)

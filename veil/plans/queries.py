@@ -110,7 +110,7 @@ def a4_csv_snapshot(spark, sf_dir):
     path = work_dir(spark, "snapshot")
     masked = mask(X.clients(spark, sf_dir), X.requests(spark, sf_dir), "bp")
     S.export_csv(masked, path)
-    return spark.read.schema(masked.schema).csv(path)
+    return S.read_csv(spark, path, masked.schema)
 
 
 @query

@@ -360,9 +360,21 @@ def purge_cells(
 
 # --- snapshots --------------------------------------------------------------
 
+#: Rows of one file of a snapshot: files with line breaks inside values are read whole by one task each.
+SNAPSHOT_FILE_ROWS = 1_000_000
+# What writer and reader must agree on, so that every text comes back as it was.
+_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
+
+
 def export_csv(df: DataFrame, path: str, header: bool = False) -> None:
     """CSV snapshot, replacing an older one. An export keeps what it was given: take it after erasure."""
-    df.write.mode("overwrite").option("header", header).csv(path)
+    writer = df.write.mode("overwrite").options(**_CSV).option("header", header)
+    writer.option("maxRecordsPerFile", SNAPSHOT_FILE_ROWS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, header: bool = False) -> DataFrame:
+    """A snapshot of :func:`export_csv`: line breaks, quotes and blanks inside values are as they were."""
+    return spark.read.schema(schema).options(**_CSV).option("multiLine", True).option("header", header).csv(path)
 
 
 def column_list(df: DataFrame) -> list[tuple[str, str]]:
