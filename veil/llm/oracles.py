@@ -1,13 +1,15 @@
 """The same results in SQL, where SQL can express them.
 
-Not here: op2, op7 (windows and spans by place), op3 (its random keys are a hash SQL engines lack), op4 and op8
-(a trained model, an iteration) and the pipeline; tests compare those with brute force.
+Not here: op2, op7 (windows and spans by place), op3 (its random keys are a hash SQL engines lack), op4 (a trained
+model) and the pipeline; tests compare those with brute force.
 """
 
 from __future__ import annotations
 
 from veil.llm.chat import DEFAULT
+from veil.llm.queries import RULES
 from veil.llm.quality_rules import LEAST_KEPT_PERCENT, LEAST_WORDS, MOST_REPEATED_PERCENT, SEPARATORS
+from veil.llm.url_filter import DAMPING, DISTRUST_OVER_TRUST, ROUNDS
 
 ORACLES: dict[str, str] = {}
 
@@ -116,6 +118,54 @@ _ROW = (
     f"least({_plus(3, 4, 'D')}, {_stays(_plus(2, _cost(3), 'R'))}, {_stays(_plus(2, _cost(0), 'K'), 'a')})]"
 )
 
+# Links as edges, forwards for trust and backwards for distrust, and as many rounds as the operator runs.
+_HOST = "lower(regexp_extract(regexp_extract({0}, '://(.*)$', 1, 's'), '^[^/?#]*', 0))"
+_fits = " UNION ALL ".join(
+    f"SELECT page_id, url, {len(r.name)} AS length, '{r.name}' AS rule, '{r.verdict}' AS verdict FROM p "
+    f"WHERE (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in RULES
+)
+_rounds = "".join(
+    f"""s{i + 1} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (
+      SELECT s.kind, e.dst AS host, {DAMPING} * s.score * e.n / o.n AS score FROM s{i} s JOIN e ON e.kind = s.kind AND e.src = s.host JOIN o ON o.kind = e.kind AND o.src = e.src
+      UNION ALL SELECT kind, host, {1 - DAMPING} * score FROM s0) GROUP BY ALL),
+    """ for i in range(ROUNDS)
+)
+ORACLES["op8_url_filter"] = f"""
+WITH p AS MATERIALIZED (SELECT page_id, url, html, CASE WHEN contains(url, '://') THEN {_HOST.format('url')} ELSE '' END AS host,
+    CASE WHEN contains(url, '://') THEN regexp_extract(regexp_replace(regexp_extract(url, '://(.*)$', 1, 's'), '[?#].*$', '', 's'), '/.*$', 0, 's') ELSE '' END AS path FROM pages),
+  f AS ({_fits}),
+  fit AS MATERIALIZED (SELECT page_id, url, max_by(rule, length) AS rule, max_by(verdict, length) AS verdict FROM (SELECT DISTINCT * FROM f) GROUP BY page_id, url),
+  a AS (SELECT host, unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']?((?:https?:)?//[^"''\\s>]+)', 1)) AS url FROM p),
+  l AS (SELECT host AS src, {_HOST.format("CASE WHEN starts_with(url, '//') THEN 'http:' || url ELSE url END")} AS dst FROM a),
+  h AS (SELECT DISTINCT host, string_split(host, '.') AS x FROM p WHERE host <> ''),
+  c AS (SELECT DISTINCT array_to_string(x[i:], '.') AS src, array_to_string(x[i + 1:], '.') AS dst FROM (SELECT x, unnest(range(1, len(x))) AS i FROM h)),
+  u AS (SELECT src, dst, sum(n) AS n FROM (SELECT src, dst, 1 AS n FROM l WHERE src <> '' AND dst <> '' AND src <> dst
+    UNION ALL SELECT src, dst, 1 FROM c UNION ALL SELECT dst, src, 1 FROM c) GROUP BY ALL),
+  e AS MATERIALIZED (SELECT 'allow' AS kind, src, dst, n FROM u UNION ALL SELECT 'block', dst, src, n FROM u),
+  o AS MATERIALIZED (SELECT kind, src, sum(n) AS n FROM e GROUP BY ALL),
+  s0 AS MATERIALIZED (SELECT verdict AS kind, host, count(*) / sum(count(*)) OVER (PARTITION BY verdict) AS score FROM p JOIN fit USING (page_id, url) WHERE host <> '' GROUP BY verdict, host),
+  {_rounds}t AS (SELECT host, coalesce(sum(score) FILTER (kind = 'allow'), 0) AS trust, coalesce(sum(score) FILTER (kind = 'block'), 0) AS distrust FROM s{ROUNDS} GROUP BY host)
+SELECT page_id, p.host, path, rule, coalesce(verdict, CASE WHEN coalesce(distrust, 0) > {DISTRUST_OVER_TRUST} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN fit USING (page_id, url) LEFT JOIN t ON t.host = p.host
+"""
+
+ORACLES["op10_line_dedup"] = f"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id, i) AS id, doc_id, i, regexp_extract_all(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+g AS (SELECT id, list_sort(list_distinct(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda j: array_to_string(ws[j:j + 4], ' '))
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS g FROM l),
+k AS MATERIALIZED (SELECT g, min(id) AS first, len(g) AS n FROM g WHERE len(g) > 0 GROUP BY g),
+s AS MATERIALIZED (SELECT first, n, unnest(g) AS x FROM k),
+p AS (SELECT a.first AS a, b.first AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.first < b.first GROUP BY 1, 2),
+e AS (SELECT b AS first, min(a) AS earliest FROM p WHERE 100 * c >= 80 * (n + m - c) GROUP BY b),
+gone AS (SELECT l.doc_id, l.i FROM g JOIN l USING (id) JOIN k USING (g) LEFT JOIN e ON e.first = k.first WHERE g.id > k.first OR e.earliest IS NOT NULL),
+r AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(ls) END::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  CASE WHEN gone IS NULL OR text IS NULL THEN text ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(ls) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ls[i]), chr(10)), '') END AS text
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
 ORACLES["op11_conversation_repair"] = f"""
 WITH {_CRC_TABLE},
 s AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
