@@ -1,12 +1,13 @@
 """The same results in SQL, where SQL can express them.
 
-Not here: op2, op7 (windows and spans by place), op3 (its random keys are a hash SQL engines lack), op4 (a trained
-model) and the pipeline; tests compare those with brute force.
+Not here: op2, op7 (windows and spans by place), op4 (a trained model) and the pipeline; tests compare those with
+brute force.
 """
 
 from __future__ import annotations
 
 from veil.llm.chat import DEFAULT
+from veil.llm.mix import ROWS_PER_PIECE
 from veil.llm.queries import RULES
 from veil.llm.quality_rules import LEAST_KEPT_PERCENT, LEAST_WORDS, MOST_REPEATED_PERCENT, SEPARATORS
 from veil.llm.url_filter import DAMPING, DISTRUST_OVER_TRUST, ROUNDS
@@ -49,6 +50,51 @@ SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_
 FROM b
 """
 
+# The 64-bit hash that orders documents, of the number 0 and then a document's id, in whole numbers below 2 ** 64.
+# The hash's five multipliers, the starting value.
+_M = 1 << 64
+_P1, _P2, _P3, _P4, _P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+_START = 42
+
+
+def _mixed(h: int) -> int:
+    for shift, factor in ((33, _P2), (29, _P3), (32, 1)):
+        h = (h ^ h >> shift) * factor % _M
+    return h
+
+
+def _hash_of_zero() -> int:
+    h = _START + _P5 + 4
+    return _mixed(((h << 23 | h >> 41) % _M * _P2 + _P3) % _M)
+
+
+_big = lambda n: f"{n}::UHUGEINT"
+_times = lambda x, n: f"({x} * {_big(n)}) % {_big(_M)}"
+_turned = lambda x, n: f"({_times(x, 1 << n)} + {x} // {_big(1 << 64 - n)})"
+_HASHED = f"""
+h1 AS (SELECT *, {_times(f"((doc_id::HUGEINT + {_M}::HUGEINT) % {_M}::HUGEINT)::UHUGEINT", _P2)} AS a FROM d),
+h2 AS (SELECT * REPLACE ({_times(_turned('a', 31), _P1)} AS a) FROM h1),
+h3 AS (SELECT * REPLACE (xor({_big((_hash_of_zero() + _P5 + 8) % _M)}, a) AS a) FROM h2),
+h4 AS (SELECT * REPLACE ((({_times(_turned('a', 27), _P1)}) + {_big(_P4)}) % {_big(_M)} AS a) FROM h3),
+h5 AS (SELECT * REPLACE ({_times(f"xor(a, a // {_big(1 << 33)})", _P2)} AS a) FROM h4),
+h6 AS (SELECT * REPLACE ({_times(f"xor(a, a // {_big(1 << 29)})", _P3)} AS a) FROM h5),
+h AS (SELECT * REPLACE (xor(a, a // {_big(1 << 32)}) AS a) FROM h6)"""
+
+ORACLES["op3_mix_sources"] = f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents), {_HASHED},
+s AS (SELECT source, count(*) AS rows, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, source_size * 2.0::DOUBLE AS cap, [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w WINDOW f AS (ORDER BY cap / weight, source NULLS LAST)),
+t AS (SELECT source, rows, source_size, CASE WHEN o IS NULL THEN cap ELSE least(cap, o * weight) END AS target
+  FROM (SELECT *, (SELECT arg_min(level, cap / weight) FROM l WHERE level * weight <= cap) AS o FROM l)),
+k AS (SELECT h.*, t.rows, source_size, target, floor((a // 2048)::DOUBLE / 9007199254740992 * ceil(rows / {ROWS_PER_PIECE})) AS piece,
+  CASE WHEN a >= {_big(1 << 63)} THEN a::HUGEINT - {_M}::HUGEINT ELSE a::HUGEINT END AS key FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source),
+r AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY piece, key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead,
+  CASE WHEN source_size > 0 THEN floor(floor(target) / source_size) ELSE 0 END AS epochs FROM k)
+SELECT doc_id, source, size, source_size, target, (epochs * size + greatest(0, least(size, floor(target) - epochs * source_size - ahead)))::BIGINT AS taken FROM r
+"""
+
 ORACLES["op5_warc"] = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
