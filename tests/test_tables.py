@@ -377,3 +377,15 @@ def test_snapshots_give_every_text_back(spark, tmp_path):
     for header in (False, True):
         S.export_csv(df.repartition(3), str(tmp_path / "csv"), header)
         assert rows(S.read_csv(spark, str(tmp_path / "csv"), df.schema, header)) == rows(df)
+
+
+def test_a_purge_goes_through_the_files_step_by_step(spark, clients, tmp_path, monkeypatch):
+    path = str(tmp_path / "cells")
+    spec = {"key": [("bp", "string")], "columns": {c: {"cf": "f", "col": c, "type": "string"} for c in ("iban", "street")}}
+    S.create_cells(C.to_cells(clients, spec, ts=1), path, 8, ["bp"])
+    monkeypatch.setattr(S, "FILES_AT_ONCE", 2)
+    keys = [str(k) for k in range(0, 200, 9)]
+    assert S.purge_cells(spark, path, asked(spark, *keys), "bp") > 2
+    left = {r.bp for r in S.read_cells(spark, path).select("bp").distinct().collect()}
+    assert left == {str(k) for k in range(200)} - set(keys)
+    assert S.purge_cells(spark, path, asked(spark, *keys), "bp") == 0

@@ -245,9 +245,11 @@ def mask_cells(
         key_type=cells.schema[key].dataType, value_type=cells.schema[VALUE].dataType,
     )
     if purge_history:
+        # Nothing is left that a mask would have to be newer than.
         pairs = [(cf, q) for cf, q, _ in _mask_list(MASKS if masks is None else masks, family)]
         cells = purge(cells, requests, key, pairs)
-    new = newer_than(new, cells, requests, key)
+    else:
+        new = newer_than(new, cells, requests, key)
     return cells.unionByName(new, allowMissingColumns=True)
 
 

@@ -14,6 +14,8 @@ from veil.spec import CF, QUALIFIER, TS, any_of
 
 BUCKET = "bucket"
 MIN_RANGES = 4
+#: Files of a cell table that a purge rewrites in one step.
+FILES_AT_ONCE = 500
 LAYOUT_FILE = "_layout.json"
 LAYOUT_PROPERTY = "veil.layout"
 
@@ -302,12 +304,13 @@ def _pairs(columns: Sequence[tuple[str, str]]) -> Column:
 
 def stage_purge(
     spark: SparkSession, path: str, requests: DataFrame, key: str, columns: Sequence[tuple[str, str]] | None,
-    staging: str,
+    staging: str, most: int | None = None,
 ) -> list[str]:
     """Write what is left of the files that hold requested cells; returns these files' names.
 
     ``columns`` are the (family, qualifier) pairs to purge, ``None`` all cells of
-    the requested keys. Names of files reach the driver, never keys or values.
+    the requested keys. Names of files reach the driver, never keys or values;
+    with ``most`` not more than so many, the first by name.
     """
     cells = read_cells(spark, path)
     named = cells.withColumn("_file", F.col("_metadata.file_path"))
@@ -316,7 +319,10 @@ def stage_purge(
     if columns is not None:
         found = found.filter(_pairs(columns))
     hit = found.join(wanted, F.col(key).cast("string") == F.col("_request"), "left_semi")
-    files = sorted(r["_file"] for r in hit.select("_file").distinct().collect())
+    named_files = hit.select("_file").distinct()
+    if most is not None:
+        named_files = named_files.orderBy("_file").limit(most)
+    files = sorted(r["_file"] for r in named_files.collect())
     if files:
         held = spark.read.schema(cells.schema).parquet(*files)
         left = purge(held, requests, key, columns) if columns is not None else erase(held, requests, key)
@@ -350,12 +356,17 @@ def purge_cells(
 ) -> int:
     """Delete requested cells, all versions of them, from a stored cell table; returns the number of rewritten files.
 
-    Only files that hold such cells are read whole and rewritten.
+    Only files that hold such cells are read whole and rewritten, ``FILES_AT_ONCE`` at a time. What has been rewritten
+    holds none any more, so a purge that was interrupted is simply repeated.
     """
-    staging = work_dir(spark, "purge")
-    files = stage_purge(spark, path, requests, key, columns, staging)
-    publish_purge(spark, path, staging, files)
-    return len(files)
+    done = 0
+    while True:
+        staging = work_dir(spark, "purge")
+        files = stage_purge(spark, path, requests, key, columns, staging, FILES_AT_ONCE)
+        publish_purge(spark, path, staging, files)
+        done += len(files)
+        if len(files) < FILES_AT_ONCE:
+            return done
 
 
 # --- snapshots --------------------------------------------------------------
