@@ -54,6 +54,25 @@ def test_latest_view_is_one_shuffle_and_counts_read_keys_only(stored):
     assert re.search(r"ReadSchema: struct<rowkey:bigint>", plan(C.count_rows(stored, X.EVENT_SPEC)))
 
 
+def test_text_cells_are_dealt_out_before_they_are_aggregated(spark, sf_dir):
+    # One row group may unfold to any number of cells; no task sorts or keeps them all before the shuffle.
+    cells = C.to_cells(X.clients(spark, sf_dir).coalesce(1), X.CLIENT_SPEC, ts=1)
+    for df in (C.to_rows(cells, X.CLIENT_SPEC), C.to_rows(cells, X.CLIENT_SPEC, tie=("cf",))):
+        text = plan(df)
+        assert text.rindex("Aggregate(") < text.index("REBALANCE_PARTITIONS_BY_COL") < text.index("Generate")
+
+
+def test_a_hot_key_spread_over_partitions_is_one_row(spark):
+    hot = spark.range(0, 20_000, 1, 16).selectExpr("if(id % 4 = 0, cast(id as string), 'hot') k", "'f' cf", "'a' qualifier", "id ts", "cast(id as string) value")
+    spec = {"key": [("k", "string")], "columns": {"a": {"cf": "f", "col": "a", "type": "string"}}}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        out = C.to_rows(hot, spec).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(out) == 5001 and {r["k"]: r["a"] for r in out} == {"hot": "19999"} | {str(i): str(i) for i in range(0, 20_000, 4)}
+
+
 def test_unique_cells_use_hash_aggregation(stored):
     text = plan(C.to_rows(stored, X.EVENT_SPEC, tie=()))
     assert "HashAggregate" in text and "SortAggregate" not in text and "Sort [" not in text

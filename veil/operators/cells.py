@@ -32,6 +32,7 @@ SLICES = 4096
 #: Rows of one cell that may come together in a task when each input partition keeps its newest ones.
 ROWS_OF_A_CELL = 1_000_000
 MAP_PART = "map_part"
+_GATHER = "_gather"
 
 
 # --- time -------------------------------------------------------------------
@@ -58,6 +59,20 @@ def in_time(cells: DataFrame, timestamp=None, min_ts=None, max_ts=None) -> DataF
 
 # --- versions ---------------------------------------------------------------
 
+def _gathered(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cells whose ``by`` agree next to each other, in partitions of bounded size.
+
+    An aggregation that isn't of fixed width sorts or keeps a whole input partition before the shuffle, and one
+    row group of a file can unfold to any number of cells. The rows of a hot group may be split over several
+    partitions here; each is combined on its own before the aggregation's own shuffle.
+    """
+    return cells.withColumn(_GATHER, F.xxhash64(*by)).hint("rebalance", _GATHER).drop(_GATHER)
+
+
+def _fixed_width(cells: DataFrame) -> bool:
+    return type(cells.schema[VALUE].dataType) in FIXED_WIDTH
+
+
 def _age(tie: Sequence[str]) -> Column:
     """Sorts a cell's versions from old to new."""
     return F.struct(TS, *tie) if tie else F.col(TS)
@@ -244,6 +259,8 @@ def to_rows(
     needed = scope_filter(spec, wanted, scope)
     scoped = in_time(cells if needed is None else cells.filter(needed), timestamp, min_ts, max_ts)
     decode = _Decoder(cells, decoders)
+    if wanted and not _fixed_width(cells):
+        scoped = _gathered(scoped, spec.key_names)
     if any(c.is_dynamic or c.is_series for c in wanted):
         return _rows_with_maps(scoped, spec, names, wanted, decode, max_versions, tie, split_maps_over)
 
