@@ -57,7 +57,7 @@ def test_latest_view_is_one_shuffle_and_counts_read_keys_only(stored):
 def test_text_cells_are_dealt_out_before_they_are_aggregated(spark, sf_dir):
     # One row group may unfold to any number of cells; no task sorts or keeps them all before the shuffle.
     cells = C.to_cells(X.clients(spark, sf_dir).coalesce(1), X.CLIENT_SPEC, ts=1)
-    for df in (C.to_rows(cells, X.CLIENT_SPEC), C.to_rows(cells, X.CLIENT_SPEC, tie=("cf",))):
+    for df in (C.to_rows(cells, X.CLIENT_SPEC), C.to_rows(cells, X.CLIENT_SPEC, tie=("cf",)), C.discover_schema(cells, ["bp"])):
         text = plan(df)
         assert text.rindex("Aggregate(") < text.index("REBALANCE_PARTITIONS_BY_COL") < text.index("Generate")
 
@@ -68,9 +68,11 @@ def test_a_hot_key_spread_over_partitions_is_one_row(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
     try:
         out = C.to_rows(hot, spec).collect()
+        found = C.discover_schema(hot, ["k"]).collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(out) == 5001 and {r["k"]: r["a"] for r in out} == {"hot": "19999"} | {str(i): str(i) for i in range(0, 20_000, 4)}
+    assert [tuple(r) for r in found] == [("f", "a", 20_000, 5001, "bigint")]
 
 
 def test_unique_cells_use_hash_aggregation(stored):

@@ -504,7 +504,7 @@ def discover_schema(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     else:
         narrow, kind = F.lit(None).cast("int"), F.lit(stored.simpleString())
     narrow = F.when(value.isNotNull(), narrow)
-    per_row = cells.groupBy(CF, QUALIFIER, *keys).agg(F.count(F.lit(1)).alias("n"), F.min(narrow).alias("low"), F.max(narrow).alias("high"))
+    per_row = _gathered(cells, [CF, QUALIFIER, *keys]).groupBy(CF, QUALIFIER, *keys).agg(F.count(F.lit(1)).alias("n"), F.min(narrow).alias("low"), F.max(narrow).alias("high"))
     rows = F.count(F.col(keys[0]) if len(keys) == 1 else F.lit(1))
     return per_row.groupBy(CF, QUALIFIER).agg(F.sum("n").alias("cells"), rows.alias("rows"), kind.alias("type"))
 
