@@ -47,3 +47,18 @@ def test_an_interrupted_batch_keeps_its_counts(spark, clients, run, monkeypatch)
             run("a", "1", "2", "nobody", kind="delete")
     assert run("b", "1", kind="delete") == [(0, 3, 0, 3, 0, 2, 1), (1, 1, 0, 0, 1, 0, 0)]
     assert S.read_table(spark, run.table).filter("bp in ('1', '2')").count() == 0
+
+
+def test_blank_lines_are_dealt_to_several_groups(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("\n".join(["", "  ", ",x"] * 1000 + [" 7 ,x", "7", "8"]))
+    spark.conf.set(Y.STORE, Y.ROCKSDB)
+    try:
+        tracked = Y.track(spark.readStream.text(str(tmp_path / "in"))).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        tracked.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(Y.STORE)
+    out = [tuple(r) for r in spark.read.schema(Y.TRACKED).parquet(str(tmp_path / "out")).collect()]
+    blank = [lines for key, lines, _ in out if key is None]
+    assert sum(blank) == 3000 and 1 < len(blank) <= Y.BLANK_GROUPS and max(blank) < 300
+    assert sorted(r for r in out if r[0] is not None) == [("7", 2, 0), ("8", 1, 0)]

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -22,6 +21,9 @@ STORE = "spark.sql.streaming.stateStore.providerClass"
 # Fixed value: the state store that state variables need.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Groups that the blank lines of a batch are dealt to, so that no task has them all.
+BLANK_GROUPS = 64
+
 #: A request of one batch: how often its key came in it, and how often before.
 TRACKED = "key string, lines bigint, before bigint"
 
@@ -37,24 +39,26 @@ class _Seen(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "times bigint", self.forget_after_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        lines = sum(len(r) for r in rows)
-        before = self.seen.get()[0] if self.seen.exists() else 0
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        lines = sum(1 for _ in rows)
+        before = (self.seen.get() or (0,))[0]
         self.seen.update((before + lines,))
-        yield pd.DataFrame({"key": [key[0]], "lines": [lines], "before": [before]})
+        yield Row(key=key[0], lines=lines, before=before)
 
     def close(self) -> None:
         pass
 
 
 def track(lines: DataFrame, forget_after_ms: int | None = None) -> DataFrame:
-    """``TRACKED`` of a stream of request lines. Blank lines come as one row with a null key and are not remembered."""
-    keyed = lines.select(F.coalesce(request_key(F.col("value")), F.lit("")).alias("key"))
-    tracked = keyed.groupBy("key").transformWithStateInPandas(
+    """``TRACKED`` of a stream of request lines. Blank lines come as a few rows with a null key and are not remembered."""
+    # Keys are trimmed, so none of them is a blank and a number.
+    blank = F.concat(F.lit(" "), F.floor(F.rand(0) * BLANK_GROUPS).cast("string"))
+    keyed = lines.select(F.coalesce(request_key(F.col("value")), blank).alias("key"))
+    tracked = keyed.groupBy("key").transformWithState(
         statefulProcessor=_Seen(forget_after_ms), outputStructType=TRACKED, outputMode="Append",
         timeMode="ProcessingTime" if forget_after_ms else "None",
     )
-    return tracked.withColumn("key", F.nullif("key", F.lit("")))
+    return tracked.withColumn("key", F.when(~F.col("key").startswith(" "), F.col("key")))
 
 
 def read_lives(spark: SparkSession, path: str) -> DataFrame:
