@@ -199,3 +199,17 @@ def test_a_document_of_near_copied_lines(spark):
     (row,) = line_dedup.dedup_lines(docs).collect()
     assert (row.n_lines, row.n_removed, row.text) == (20_000, 19_999, lines[0])
     assert ngram_join.ngram_jaccard_join(docs).count() == 1
+
+
+def test_sketch_counts_every_bucket_over_all_tasks(spark):
+    import numpy as np
+
+    from veil.llm import setjoin
+
+    docs = spark.range(0, 40, 1, 5).selectExpr("repeat('x', cast(id % 7 as int)) text")
+    hashes = lambda column: (np.array([len(v) * 512 + 3] * 2, np.uint64) for v in column.to_pylist())
+    weight = setjoin.corpus_weights(docs, "text", hashes, 13).value
+    expected = np.zeros(1 << 13, np.uint8)
+    for i in range(7):
+        expected[i * 512 + 3] = int(4 * np.log2(2 * len(range(i, 40, 7))))
+    assert weight.tolist() == expected.tolist()

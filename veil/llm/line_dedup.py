@@ -99,7 +99,8 @@ def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80, lower: bool =
     heads = feats.join(measured(copies), KEY, "left_anti")
     postings = heads.select(*KEY, F.explode("prefix").alias("token"))
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("from_doc")).where("c > 1")
-    shared = stored(postings.join(lists, "token").drop("c"), "line-lists")
+    # The lists left are few, so the postings are looked up as they come and never sorted.
+    shared = stored(postings.join(lists.hint("shuffle_hash"), "token").drop("c"), "line-lists")
     place = (F.array_position("prefix", F.col("token")) - 1).cast("int")
     rows = shared.join(feats.select(*KEY, "n", *J.BITS, "prefix"), KEY).withColumn("pos", place).drop("prefix")
     rows = stored(rows, "line-rows")

@@ -22,31 +22,44 @@ from veil.runtime import measured
 
 #: 128 parity bits of a set, as two columns; see ``may_match``.
 BITS = ("bit0", "bit1")
+#: Buckets of the frequency sketch that are sent in one row.
+COUNTS = 512
 
 
 def corpus_weights(docs: DataFrame, text: str, per_text: Callable, bits: int = S.SKETCH_BITS):
     """Broadcast frequency class (a byte) of each hash bucket, from all shingles of all texts.
 
-    ``per_text(column)`` yields arrays of shingle hashes. One row for each bucket
-    and task is summed by Spark; 2**bits sums reach the driver, a fixed number.
+    ``per_text(column)`` yields arrays of shingle hashes. A task sends its counts as
+    blocks of ``COUNTS`` buckets, which are added up by block as they come in;
+    2**bits sums reach the driver, a fixed number.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
             for shingles in per_text(batch.column(0)):
                 total += np.bincount((shingles & np.uint64(len(total) - 1)).astype(np.int64), minlength=len(total))
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 65536):
-            part = at[i:i + 65536]
-            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(total[part])], ["bucket", "n"])
-
-    sums = (
-        docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "bucket int, n bigint")
-        .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    )
-    weight = np.zeros(1 << bits, np.uint8)
-    n = sums.column("n").to_numpy()
-    weight[sums.column("bucket").to_numpy()] = np.minimum(255, np.floor(4 * np.log2(np.maximum(n, 1)))).astype(np.uint8)
+        blocks = [(i, part) for i, part in enumerate(total.reshape(-1, COUNTS)) if part.any()]
+        if blocks:
+            yield packed(blocks)
+
+    def packed(blocks: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([i for i, _ in blocks], pa.int32()), pa.array([c.tobytes() for _, c in blocks], pa.binary())], ["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(counts.as_buffer(), np.int64)
+                sums[i] = sums[i] + part if i in sums else part.copy()
+        if sums:
+            yield packed(list(sums.items()))
+
+    blocks = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "block int, counts binary")
+    sums = blocks.repartition("block").mapInArrow(add, "block int, counts binary").toArrow()
+    n = np.zeros(((1 << bits) // COUNTS, COUNTS), np.int64)
+    for i, counts in zip(sums.column("block").to_pylist(), sums.column("counts").to_pylist(), strict=True):
+        n[i] = np.frombuffer(counts, np.int64)
+    weight = np.minimum(255, np.floor(4 * np.log2(np.maximum(n.reshape(-1), 1)))).astype(np.uint8)
     return docs.sparkSession.sparkContext.broadcast(weight)
 
 
