@@ -62,6 +62,23 @@ def test_text_cells_are_dealt_out_before_they_are_aggregated(spark, sf_dir):
         assert text.rindex("Aggregate(") < text.index("REBALANCE_PARTITIONS_BY_COL") < text.index("Generate")
 
 
+def test_dealing_out_text_cells_sorts_nothing_however_many_partitions(spark):
+    # Beyond the bypass threshold a task that unfolds a row group keeps and sorts all its cells to shuffle them.
+    people = spark.range(0, 3_000, 1, 1).selectExpr("cast(id as string) bp", "if(id % 3 = 0, null, cast(id as string)) iban", "cast(id % 7 as string) level")
+    cells = C.to_cells(people, X.CLIENT_SPEC, ts=1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for asked, dealt in ((5000, 200), (5, 5)):
+            spark.conf.set("spark.sql.shuffle.partitions", asked)
+            for df in (C.to_rows(cells, X.CLIENT_SPEC), C.to_rows(cells, X.CLIENT_SPEC, tie=("cf",)), C.discover_schema(cells, ["bp"])):
+                assert re.findall(r"hashpartitioning\(_gather\S*, (\d+)\), REBALANCE_PARTITIONS_BY_COL", plan(df)) == [str(dealt)]
+        spark.conf.set("spark.sql.shuffle.partitions", 201)
+        out = C.to_rows(cells, X.CLIENT_SPEC, ["bp", "iban", "level"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(tuple(r) for r in out) == sorted((str(i), None if i % 3 == 0 else str(i), str(i % 7)) for i in range(3_000))
+
+
 def test_a_hot_key_spread_over_partitions_is_one_row(spark):
     hot = spark.range(0, 20_000, 1, 16).selectExpr("if(id % 4 = 0, cast(id as string), 'hot') k", "'f' cf", "'a' qualifier", "id ts", "cast(id as string) value")
     spec = {"key": [("k", "string")], "columns": {"a": {"cf": "f", "col": "a", "type": "string"}}}

@@ -65,8 +65,15 @@ def _gathered(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     An aggregation that isn't of fixed width sorts or keeps a whole input partition before the shuffle, and one
     row group of a file can unfold to any number of cells. The rows of a hot group may be split over several
     partitions here; each is combined on its own before the aggregation's own shuffle.
+
+    Up to ``spark.shuffle.sort.bypassMergeThreshold`` partitions a task writes every row straight to its partition's
+    file; with more it would keep and sort all that it unfolds. Adaptive execution splits those that get too large.
     """
-    return cells.withColumn(_GATHER, F.xxhash64(*by)).hint("rebalance", _GATHER).drop(_GATHER)
+    spark = cells.sparkSession
+    n = spark._jsparkSession.sessionState().conf().numShufflePartitions()
+    unsorted = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    n = min(n, unsorted) if unsorted > 0 else n
+    return cells.withColumn(_GATHER, F.xxhash64(*by)).hint("rebalance", n, _GATHER).drop(_GATHER)
 
 
 def _fixed_width(cells: DataFrame) -> bool:
