@@ -79,6 +79,37 @@ def test_dealing_out_text_cells_sorts_nothing_however_many_partitions(spark):
     assert sorted(tuple(r) for r in out) == sorted((str(i), None if i % 3 == 0 else str(i), str(i % 7)) for i in range(3_000))
 
 
+def test_text_cells_are_dealt_out_without_adaptive_execution(spark):
+    # A rebalance hint is dropped then; the task that unfolds a row group would sort all its cells.
+    people = spark.range(0, 3_000, 1, 1).selectExpr("cast(id as string) bp", "if(id % 3 = 0, null, cast(id as string)) iban", "cast(id % 7 as string) level")
+    cells = C.to_cells(people, X.CLIENT_SPEC, ts=1)
+    hot = spark.range(0, 20_000, 1, 1).selectExpr("if(id % 4 = 0, cast(id as string), 'hot') k", "'f' cf", "'a' qualifier", "id ts", "cast(id as string) value")
+    spec = {"key": [("k", "string")], "columns": {"a": {"cf": "f", "col": "a", "type": "string"}}}
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "201"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for df in (C.to_rows(cells, X.CLIENT_SPEC), C.to_rows(cells, X.CLIENT_SPEC, tie=("cf",)), C.discover_schema(cells, ["bp"])):
+            text = plan(df)
+            assert re.findall(r"hashpartitioning\(_gather\S*, (\d+)\)", text) == ["200"]
+            assert text.rindex("Aggregate(") < text.index("hashpartitioning(_gather") < text.index("Generate")
+        one = plan(C.to_rows(cells, X.CLIENT_SPEC).filter("bp = '7'"))
+        assert one.index("hashpartitioning(_gather") < one.index("= 7)")
+        out = C.to_rows(cells, X.CLIENT_SPEC, ["bp", "iban", "level"]).collect()
+        spread = C._gathered(hot, ["k"]).filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        newest = C.to_rows(hot, spec).collect()
+        found = C.discover_schema(hot, ["k"]).collect()
+        untimed = C.discover_schema(hot.drop("ts"), ["k"]).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in out) == sorted((str(i), None if i % 3 == 0 else str(i), str(i % 7)) for i in range(3_000))
+    assert 8 <= spread <= C.SPREAD
+    assert len(newest) == 5001 and {r["k"]: r["a"] for r in newest} == {"hot": "19999"} | {str(i): str(i) for i in range(0, 20_000, 4)}
+    assert [tuple(r) for r in found] == [tuple(r) for r in untimed] == [("f", "a", 20_000, 5001, "bigint")]
+
+
 def test_a_hot_key_spread_over_partitions_is_one_row(spark):
     hot = spark.range(0, 20_000, 1, 16).selectExpr("if(id % 4 = 0, cast(id as string), 'hot') k", "'f' cf", "'a' qualifier", "id ts", "cast(id as string) value")
     spec = {"key": [("k", "string")], "columns": {"a": {"cf": "f", "col": "a", "type": "string"}}}

@@ -33,6 +33,8 @@ SLICES = 4096
 ROWS_OF_A_CELL = 1_000_000
 MAP_PART = "map_part"
 _GATHER = "_gather"
+#: Partitions that the versions of one key may be dealt to where adaptive execution can't split a partition.
+SPREAD = 16
 
 
 # --- time -------------------------------------------------------------------
@@ -68,11 +70,16 @@ def _gathered(cells: DataFrame, by: Sequence[str]) -> DataFrame:
 
     Up to ``spark.shuffle.sort.bypassMergeThreshold`` partitions a task writes every row straight to its partition's
     file; with more it would keep and sort all that it unfolds. Adaptive execution splits those that get too large.
+    Without it the hint counts for nothing: then a repartition deals cells out, and the versions of a hot key go to
+    several partitions by their time.
     """
     spark = cells.sparkSession
     n = spark._jsparkSession.sessionState().conf().numShufflePartitions()
     unsorted = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
     n = min(n, unsorted) if unsorted > 0 else n
+    if spark.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+        spread = [F.pmod(F.xxhash64(TS), F.lit(SPREAD))] if TS in cells.columns else []
+        return cells.withColumn(_GATHER, F.xxhash64(*by, *spread)).repartition(n, _GATHER).drop(_GATHER)
     return cells.withColumn(_GATHER, F.xxhash64(*by)).hint("rebalance", n, _GATHER).drop(_GATHER)
 
 
