@@ -85,6 +85,8 @@ def test_text_cells_are_dealt_out_without_adaptive_execution(spark):
     cells = C.to_cells(people, X.CLIENT_SPEC, ts=1)
     hot = spark.range(0, 20_000, 1, 1).selectExpr("if(id % 4 = 0, cast(id as string), 'hot') k", "'f' cf", "'a' qualifier", "id ts", "cast(id as string) value")
     spec = {"key": [("k", "string")], "columns": {"a": {"cf": "f", "col": "a", "type": "string"}}}
+    wide = spark.range(0, 2_000, 1, 1).selectExpr("'k' k", "'f' cf", "cast(id as string) qualifier", "cast(1 as bigint) ts", "cast(id as string) value")
+    wide_spec = {"key": [("k", "string")], "columns": {"all": {"cf": "f", "col": "", "type": "map<string,string>"}}}
     conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "201"}
     before = {k: spark.conf.get(k) for k in conf}
     try:
@@ -98,6 +100,9 @@ def test_text_cells_are_dealt_out_without_adaptive_execution(spark):
         assert one.index("hashpartitioning(_gather") < one.index("= 7)")
         out = C.to_rows(cells, X.CLIENT_SPEC, ["bp", "iban", "level"]).collect()
         spread = C._gathered(hot, ["k"]).filter("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        dealt = re.search(r"xxhash64.* AS _gather", plan(C.to_rows(wide, wide_spec, scope="none"))).group()
+        parted = C._gathered(wide, ["k"], [C.TS, C.CF, C.QUALIFIER]).select(F.spark_partition_id().alias("p")).distinct().count()
+        whole = C.to_rows(wide, wide_spec, scope="family").collect()
         newest = C.to_rows(hot, spec).collect()
         found = C.discover_schema(hot, ["k"]).collect()
         untimed = C.discover_schema(hot.drop("ts"), ["k"]).collect()
@@ -105,7 +110,8 @@ def test_text_cells_are_dealt_out_without_adaptive_execution(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sorted(tuple(r) for r in out) == sorted((str(i), None if i % 3 == 0 else str(i), str(i % 7)) for i in range(3_000))
-    assert 8 <= spread <= C.SPREAD
+    assert "qualifier" in dealt and 8 <= spread <= C.SPREAD and 8 <= parted <= C.SPREAD
+    assert [(r["k"], r["all"]) for r in whole] == [("k", {str(i): str(i) for i in range(2_000)})]
     assert len(newest) == 5001 and {r["k"]: r["a"] for r in newest} == {"hot": "19999"} | {str(i): str(i) for i in range(0, 20_000, 4)}
     assert [tuple(r) for r in found] == [tuple(r) for r in untimed] == [("f", "a", 20_000, 5001, "bigint")]
 

@@ -33,7 +33,7 @@ SLICES = 4096
 ROWS_OF_A_CELL = 1_000_000
 MAP_PART = "map_part"
 _GATHER = "_gather"
-#: Partitions that the versions of one key may be dealt to where adaptive execution can't split a partition.
+#: Partitions that the cells of one key may be dealt to where adaptive execution can't split a partition.
 SPREAD = 16
 
 
@@ -61,7 +61,7 @@ def in_time(cells: DataFrame, timestamp=None, min_ts=None, max_ts=None) -> DataF
 
 # --- versions ---------------------------------------------------------------
 
-def _gathered(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+def _gathered(cells: DataFrame, by: Sequence[str], apart: Sequence[str] = (TS,)) -> DataFrame:
     """Cells whose ``by`` agree next to each other, in partitions of bounded size.
 
     An aggregation that isn't of fixed width sorts or keeps a whole input partition before the shuffle, and one
@@ -70,15 +70,16 @@ def _gathered(cells: DataFrame, by: Sequence[str]) -> DataFrame:
 
     Up to ``spark.shuffle.sort.bypassMergeThreshold`` partitions a task writes every row straight to its partition's
     file; with more it would keep and sort all that it unfolds. Adaptive execution splits those that get too large.
-    Without it the hint counts for nothing: then a repartition deals cells out, and the versions of a hot key go to
-    several partitions by their time.
+    Without it the hint counts for nothing: then a repartition deals cells out, and the cells of a hot key go to
+    several partitions by the columns ``apart``.
     """
     spark = cells.sparkSession
     n = spark._jsparkSession.sessionState().conf().numShufflePartitions()
     unsorted = int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", "200"))
     n = min(n, unsorted) if unsorted > 0 else n
     if spark.conf.get("spark.sql.adaptive.enabled").lower() != "true":
-        spread = [F.pmod(F.xxhash64(TS), F.lit(SPREAD))] if TS in cells.columns else []
+        apart = [c for c in apart if c in cells.columns]
+        spread = [F.pmod(F.xxhash64(*apart), F.lit(SPREAD))] if apart else []
         return cells.withColumn(_GATHER, F.xxhash64(*by, *spread)).repartition(n, _GATHER).drop(_GATHER)
     return cells.withColumn(_GATHER, F.xxhash64(*by)).hint("rebalance", n, _GATHER).drop(_GATHER)
 
@@ -273,9 +274,11 @@ def to_rows(
     needed = scope_filter(spec, wanted, scope)
     scoped = in_time(cells if needed is None else cells.filter(needed), timestamp, min_ts, max_ts)
     decode = _Decoder(cells, decoders)
+    maps = any(c.is_dynamic or c.is_series for c in wanted)
     if wanted and not _fixed_width(cells):
-        scoped = _gathered(scoped, spec.key_names)
-    if any(c.is_dynamic or c.is_series for c in wanted):
+        # maps are combined cell by cell, so a wide key's cells of one time may part
+        scoped = _gathered(scoped, spec.key_names, [TS, CF, QUALIFIER] if maps else [TS])
+    if maps:
         return _rows_with_maps(scoped, spec, names, wanted, decode, max_versions, tie, split_maps_over)
 
     aggregates, after = [], {}
